@@ -83,8 +83,8 @@ def table_of(body: Column) -> Column:
 
 
 def _records(spark: SparkSession, path, line_sep: str, whole_files: bool) -> DataFrame:
-    reader = spark.read.option("wholetext", True) if whole_files else spark.read.option("lineSep", line_sep)
-    return reader.text(path).select(
+    texts = spark.read.text(path, wholetext=True) if whole_files else spark.read.text(path, lineSep=line_sep)
+    return texts.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
