@@ -38,8 +38,8 @@ def _winner(df: DataFrame, keep: str, order) -> Column:
     items = ordering.items(order)
     if any(i.desc for i in items):
         raise ValueError("give an ascending order and choose keep='first' or keep='last'")
-    rank = F.struct(*[i.expr for i in items], _row(df))
-    return (F.min_by if keep == "first" else F.max_by)(_row(df), rank)
+    ranked = F.struct(*[i.expr for i in items], _row(df).alias(_ROW))
+    return (F.min if keep == "first" else F.max)(ranked)[_ROW]
 
 
 def one_per_key(df: DataFrame, keys: list[str], keep: str | None = None, order=None) -> DataFrame:
@@ -47,6 +47,10 @@ def one_per_key(df: DataFrame, keys: list[str], keep: str | None = None, order=N
 
     ``keep`` is ``first`` or ``last`` by ``order``; None makes a duplicate an error.
     """
+    return _one_per_known_key(df, keys, keep, order).unionByName(df.where(_has_null(keys)))
+
+
+def _one_per_known_key(df: DataFrame, keys: list[str], keep: str | None = None, order=None) -> DataFrame:
     known = df.where(~_has_null(keys))
     if keep is None:
         grouped = known.groupBy(*keys).agg(F.count("*").alias("n"), F.first(_row(df)).alias(_ROW))
@@ -54,7 +58,7 @@ def one_per_key(df: DataFrame, keys: list[str], keep: str | None = None, order=N
         grouped = grouped.withColumn(_ROW, F.when(F.col("n") > 1, F.raise_error(message)).otherwise(F.col(_ROW)))
     else:
         grouped = known.groupBy(*keys).agg(_winner(df, keep, order).alias(_ROW))
-    return _unpacked(grouped, df.columns, keys).unionByName(df.where(_has_null(keys)))
+    return _unpacked(grouped, df.columns, keys)
 
 
 def _unpacked(grouped: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
@@ -69,10 +73,14 @@ def _on(keys: list[str], left: str = "t", right: str = "s") -> Column:
     return cond
 
 
-def _anti(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    # Distinct keys are combined before the shuffle and share the join's
-    # partitioning, so a repeated key on the right costs one row per task.
-    return a.join(b.select(*keys).distinct(), keys, "left_anti").select(*a.columns)
+def _distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of ``df`` once each, without the partitioning they were counted in.
+
+    The join that follows shuffles them anew, which is little, and so stays a
+    plain join of two shuffles. Only such a join is split at run time when
+    one key fills the other side.
+    """
+    return df.select(F.struct(*[F.col(f"`{k}`") for k in keys]).alias("k")).distinct().select("k.*")
 
 
 def insert_ignore(target: DataFrame, source: DataFrame, keys: list[list[str]], order=None) -> DataFrame:
@@ -81,13 +89,16 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: list[list[str]], o
     Within the source the first row by ``order`` wins.
     """
     fresh = source.select(*target.columns)
-    for k in keys:
-        fresh = _anti(fresh, target, k)
     if len(keys) == 1:
-        fresh = one_per_key(fresh, keys[0], "first", order)
-    else:
-        fresh = _first_without_conflict(fresh, keys, order)
-    return target.unionByName(fresh)
+        # Both sides are down to one row per key before they meet, and rows
+        # without a key go around the join.
+        (k,) = keys
+        known = _one_per_known_key(fresh, k, "first", order)
+        new = known.join(target.select(*k).distinct(), k, "left_anti").select(*target.columns)
+        return target.unionByName(new).unionByName(fresh.where(_has_null(k)))
+    for k in keys:
+        fresh = fresh.join(_distinct_keys(target, k), k, "left_anti")
+    return target.unionByName(_first_without_conflict(fresh.select(*target.columns), keys, order))
 
 
 def _first_without_conflict(df: DataFrame, keys: list[list[str]], order) -> DataFrame:
@@ -114,8 +125,8 @@ def _first_without_conflict(df: DataFrame, keys: list[list[str]], order) -> Data
         now = written(leads.where(is_lead).select(*waiting.columns), "kept")
         kept.append(now.select(*df.columns))
         for k in keys:
-            waiting = _anti(waiting, now, k)
-        waiting = written(waiting, "waiting")
+            waiting = waiting.join(_distinct_keys(now, k), k, "left_anti")
+        waiting = written(waiting.select(*df.columns, "__rank"), "waiting")
     out = kept[0]
     for k in kept[1:]:
         out = out.unionByName(k)
@@ -143,7 +154,7 @@ def upsert(
     # send all of them to one task.
     known, loose = ~_has_null(keys), _has_null(keys)
     t = target.where(known).withColumn("__t", F.lit(True)).alias("t")
-    s = one_per_key(source.where(known), keys, keep, order).withColumn("__s", F.lit(True)).alias("s")
+    s = _one_per_known_key(source, keys, keep, order).withColumn("__s", F.lit(True)).alias("s")
     joined = t.join(s, _on(keys), "full")
     old, new = F.col("t.__t").isNotNull(), F.col("s.__s").isNotNull()
     out = []
@@ -165,7 +176,8 @@ def replace_into(
         return target.unionByName(source)
     if all(c in keys for c in target.columns):
         return insert_ignore(target, source, [keys])
-    return _anti(target, source, keys).unionByName(one_per_key(source, keys, keep, order))
+    kept = target.join(_distinct_keys(source, keys), keys, "left_anti").select(*target.columns)
+    return kept.unionByName(one_per_key(source, keys, keep, order))
 
 
 def update_join(
@@ -193,7 +205,8 @@ def update_join(
         rows = source.groupBy(*keys).agg(F.count("*").alias("__n"), F.first(_row(source)).alias(_ROW))
     else:
         rows = source.groupBy(*keys).agg(F.lit(1).alias("__n"), _winner(source, "first", order).alias(_ROW))
-    s = _unpacked(rows, [*source.columns, "__n"], [*keys, "__n"]).alias("s")
+    # As in _distinct_keys, the join must not inherit this partitioning.
+    s = rows.select(f"{_ROW}.*", "__n").alias("s")
     t = target.alias("t")
     cond = F.lit(True)
     for tc, sc in on.items():
@@ -227,7 +240,7 @@ def delete_join(
     if source_where is not None:
         source = source.where(source_where)
     if where is None:
-        source = source.select(*dict.fromkeys(on.values())).distinct()
+        source = _distinct_keys(source, list(dict.fromkeys(on.values())))
     cond = F.lit(True)
     for tc, sc in on.items():
         cond = cond & (F.col(f"t.`{tc}`") == F.col(f"s.`{sc}`"))

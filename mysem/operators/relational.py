@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mysem.functions.conditional import field_rank
 from mysem.operators import ordering
+from mysem.operators.numbering import number_rows
 
 
 def order_by(df: DataFrame, order) -> DataFrame:
@@ -19,9 +20,18 @@ def order_by_field(df: DataFrame, c: str, items: list, then=None) -> DataFrame:
     return df.orderBy(field_rank(c, *items).asc_nulls_last(), *ordering.columns(then))
 
 
-def limit_offset(df: DataFrame, order, offset: int, count: int) -> DataFrame:
-    """``ORDER BY order LIMIT offset, count``."""
-    return order_by(df, order).offset(offset).limit(count)
+def limit_offset(df: DataFrame, order, offset: int, count: int, deep: int = 1_000_000) -> DataFrame:
+    """``ORDER BY order LIMIT offset, count``.
+
+    The first rows are found by keeping the best ``offset + count`` of every
+    task. Past ``deep`` that would be too many for one task, so the sorted
+    rows are numbered instead.
+    """
+    if offset + count <= deep:
+        return order_by(df, order).offset(offset).limit(count)
+    numbered = number_rows(df, order, "__n", start=0)
+    page = numbered.where((F.col("__n") >= offset) & (F.col("__n") < offset + count))
+    return page.orderBy("__n").drop("__n")
 
 
 def found_rows(df: DataFrame, alias: str = "found_rows") -> DataFrame:

@@ -220,11 +220,11 @@ def _(t):
 @query(
     "order_by_field",
     """select o_orderkey, o_orderpriority from orders
-    order by list_position(['3-MEDIUM', '1-URGENT'], o_orderpriority) nulls last, o_orderkey limit 50""",
+    order by list_position(['3-MEDIUM', '1-URGENT'], o_orderpriority) nulls last, o_orderkey""",
 )
 def _(t):
     df = t.orders.select("o_orderkey", "o_orderpriority")
-    return relational.order_by_field(df, "o_orderpriority", ["3-MEDIUM", "1-URGENT"], then="o_orderkey").limit(50)
+    return relational.order_by_field(df, "o_orderpriority", ["3-MEDIUM", "1-URGENT"], then="o_orderkey")
 
 
 @query("random_sample_order", "select 100 as n, 100 as n_known from orders limit 1")

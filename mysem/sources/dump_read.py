@@ -10,8 +10,6 @@ recurses once per character and overflows the stack on a long literal.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,12 +49,16 @@ _TABLE = (
 
 _HEAD = r"(?is)^(?:INSERT|REPLACE)\s[^('\"]*?(?:\(([^()'\"]*+)\)\s*)?VALUES?\s*(?=\()"
 _TUPLE = rf"(?s)\(((?:[^'\"()]++|{_SINGLE}|{_DOUBLE})*+)\)"
-# A character set introducer (_utf8mb4'...') says nothing about the value.
-_FIELD = rf"(?s)\s*+(?:_\w++\s*+(?=['\"]))?+([XxBbNn]?+(?:{_SINGLE}|{_DOUBLE})|[^,'\"]++)\s*+(?:,|$)"
+# A value, after the parenthesis or comma before it and with the parenthesis
+# that closes its row.
+_VALUE = rf"(?s)[(,]\s*+((?:[^,'\"()\s]++(?=\s*+[,)])|(?:\w++\s*+)?+(?:{_SINGLE}|{_DOUBLE}))(?:\s*+\))?+)"
 _BLANKS = " \t\r\n"
 
 PLACE = ["file", "block", "seq"]
 
+# Up to this many DELIMITER lines (some 50 bytes each) their places are broadcast.
+SMALL_MARKS = 200_000
+
 
 def strip_comments(c: Column) -> Column:
     """Drop comments outside quotes and unwrap ``/*!NNNNN ... */``."""
@@ -107,7 +109,9 @@ def _explode_statements(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
         )
     )
     whole = F.when(F.regexp_like(body, F.lit(_BALANCED)), parts).otherwise(broken)
-    return df.select(*keep, F.posexplode(whole).alias("part", "body"))
+    # Trimmed here, where each body is made once; filters repeat what follows.
+    bodies = F.transform(whole, lambda b: F.trim(b, F.lit(_BLANKS)))
+    return df.select(*keep, F.posexplode(bodies).alias("part", "body"))
 
 
 def read_dump(
@@ -129,24 +133,24 @@ def read_dump(
     if sections is None:
         plain = _explode_statements(records, "value", PLACE)
     else:
-        inside = records.join(F.broadcast(sections), "file", "left").withColumn(
+        inside = records.join(sections, "file", "left").withColumn(
             "section",
             F.filter("ranges", lambda r: (r["lo"] <= F.struct("block", "seq")) & (F.struct("block", "seq") <= r["hi"])),
         )
         outside = inside.where(F.coalesce(F.size("section"), F.lit(0)) <= 0)
         plain = _explode_statements(outside, "value", PLACE)
         plain = plain.unionByName(_routine_statements(inside.where(F.size("section") > 0), line_sep))
-    return (
-        plain.withColumn("body", F.trim("body", F.lit(_BLANKS)))
-        .where(F.col("body") != "")
-        .select(*PLACE, "part", category_of(F.col("body")).alias("category"), table_of(F.col("body")).alias("table"), "body")
+    body = F.col("body")
+    return plain.where(body != "").select(
+        *PLACE, "part", category_of(body).alias("category"), table_of(body).alias("table"), "body"
     )
 
 
 def _sections(records: DataFrame) -> DataFrame | None:
     """Per file, the ranges of records that belong to DELIMITER sections; None without any.
 
-    One entry per routine or trigger of a schema, so the result is small.
+    One entry per routine or trigger of a schema, so the result is small; it is
+    broadcast only when it has been found to be.
     """
     text = strip_comments(F.concat(F.col("value"), F.lit(";")))
     marks = records.where(
@@ -157,7 +161,8 @@ def _sections(records: DataFrame) -> DataFrame | None:
         F.element_at(F.regexp_extract_all(text, F.lit(_SECTION_PART), F.lit(1)), -1).alias("last"),
     )
     marks = marks.where("last is not null").select("file", F.struct("at", (F.col("last") != ";").alias("opens")).alias("m"))
-    if marks.isEmpty():
+    n = marks.count()
+    if n == 0:
         return None
     files = marks.groupBy("file").agg(F.array_sort(F.collect_list("m")).alias("ms"))
     begins = F.filter("ms", lambda m, i: (i == 0) | ~F.get("ms", i - 1)["opens"])
@@ -167,7 +172,8 @@ def _sections(records: DataFrame) -> DataFrame | None:
         begins,
         lambda b, i: F.struct(b["at"].alias("lo"), F.coalesce(F.get(ends, i)["at"], far).alias("hi")),
     )
-    return files.select("file", ranges.alias("ranges"))
+    found = files.select("file", ranges.alias("ranges"))
+    return F.broadcast(found) if n <= SMALL_MARKS else found
 
 
 def _routine_statements(records: DataFrame, line_sep: str) -> DataFrame:
@@ -191,6 +197,7 @@ def _routine_statements(records: DataFrame, line_sep: str) -> DataFrame:
     standard = _explode_statements(pieces.where("mark = ';'"), "body", ["file", "block", "seq", "p"])
     own = F.split("body", F.concat(F.lit("\\Q"), F.col("mark"), F.lit("\\E")))
     custom = pieces.where("mark <> ';'").select("file", "block", "seq", "p", F.posexplode(own).alias("part", "body"))
+    custom = custom.withColumn("body", F.trim("body", F.lit(_BLANKS)))
     # Statements of one piece follow those of the piece before.
     part = (F.col("p") * 1_000_000 + F.col("part")).cast("int").alias("part")
     return standard.unionByName(custom).select("file", "block", "seq", part, "body")
@@ -232,33 +239,54 @@ def dump_rows(statements: DataFrame, table: str, columns: list[str]) -> DataFram
     at = F.transform(F.array(*[F.lit(c) for c in columns]), lambda c: F.array_position("names", c).cast("int") - 1)
     cut = cut.withColumns(
         {
-            "tuples": F.regexp_extract_all("rest", F.lit(_TUPLE), F.lit(1)),
-            "at": F.when(listed, at).otherwise(F.array(*[F.lit(i) for i in range(len(columns))])),
+            "flat": F.regexp_extract_all("rest", F.lit(_VALUE), F.lit(1)),
+            "listed": listed,
+            "at": at,
             "width": F.when(listed, F.size("names")).otherwise(F.lit(len(columns))),
         }
     )
-    # What the tuples, their parentheses and commas leave over must be blank.
-    used = F.aggregate("tuples", F.lit(0), lambda n, t: n + F.length(t) + 3) - 1
+    # One pass gives the values of all rows; each row is the next ``width`` of
+    # them. Array functions keep this short: one expression per column would
+    # make a method too long for the JVM to compile.
+    n = (F.size("flat") / F.col("width")).cast("int")
+    # The values, what precedes each and the commas between rows make up the
+    # text. If not, what the rows leave over must be blank.
+    exact = F.octet_length(F.array_join("flat", "")) + F.size("flat") + n - 1 == F.octet_length("rest")
     left = F.regexp_replace("rest", _TUPLE, "")
-    complete = (F.size("tuples") > 0) & ((used == F.length("rest")) | F.regexp_like(left, F.lit(r"^[\s,]*$")))
-    checked = F.when(complete, F.col("tuples")).otherwise(
-        F.raise_error(F.concat(F.lit("not a list of literal rows: "), F.substring("body", 1, 80)))
+    literal = exact | (F.regexp_like("rest", F.lit(_TUPLE)) & F.regexp_like(left, F.lit(r"^[\s,]*$")))
+    # A row ends where a parenthesis closes and nowhere else.
+    misplaced = F.exists(
+        F.transform("flat", lambda v, i: v.endswith(")") != ((i + 1) % F.col("width") == 0)), lambda wrong: wrong
+    )
+    whole = (n > 0) & (n * F.col("width") == F.size("flat")) & ~misplaced
+    bare = F.transform(
+        "flat", lambda v: F.when(v.endswith(")"), F.rtrim(F.substr(v, F.lit(1), F.length(v) - 1))).otherwise(v)
+    )
+    start = F.substring("body", 1, 80)
+    checked = (
+        F.when(
+            ~F.coalesce(literal, F.lit(False)),
+            F.raise_error(F.concat(F.lit("not a list of literal rows: "), start)),
+        )
+        .when(~whole, F.raise_error(F.concat(F.lit(f"wrong number of values for {table}: "), start)))
+        .otherwise(bare)
     )
-    rows = cut.select(*PLACE, "part", "at", "width", F.posexplode(checked).alias("row", "tuple")).withColumn(
-        "fields", F.regexp_extract_all("tuple", F.lit(_FIELD), F.lit(1))
+    cut = cut.select(*PLACE, "part", "listed", "at", "width", n.alias("n"), checked.alias("flat"))
+    each = F.transform(
+        F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.slice("flat", i * F.col("width") + 1, F.col("width"))
     )
-    wrong = F.raise_error(F.concat(F.lit(f"wrong number of values for {table}: "), F.substring("tuple", 1, 80)))
-    fields = F.when(F.size("fields") == F.col("width"), F.col("fields")).otherwise(wrong)
-    rows = rows.select(*PLACE, "part", "row", "at", fields.alias("fields"))
-    values = [F.when(F.col("at")[i] >= 0, F.get("fields", F.col("at")[i])) for i in range(len(columns))]
-    return rows.select(*PLACE, "part", "row", F.array(*values).alias("values"))
+    rows = cut.select(*PLACE, "part", "listed", "at", F.posexplode(each).alias("row", "fields"))
+    named = F.transform("at", lambda i: F.when(i >= 0, F.get("fields", i)))
+    return rows.select(*PLACE, "part", "row", F.when(F.col("listed"), named).otherwise(F.col("fields")).alias("values"))
 
 
 def decode_literal(raw: Column, to: T.DataType, strict: bool = True) -> Column:
     """The value of an SQL literal, without blanks around it, as type ``to``."""
+    # A character set introducer (_utf8mb4'...') says nothing about the value.
+    raw = F.when(raw.startswith("_"), F.regexp_replace(raw, r"^_\w+\s*", "")).otherwise(raw)
+    single, double = raw.startswith("'"), raw.startswith('"')
+    inner = F.substr(raw, F.lit(2), F.length(raw) - 2)
     if isinstance(to, (T.StringType, T.BinaryType)):
-        inner = F.substr(raw, F.lit(2), F.length(raw) - 2)
-        single, double = raw.startswith("'"), raw.startswith('"')
         doubled = unescape_string(F.replace(inner, F.lit('""'), F.lit('"')))
         if isinstance(to, T.BinaryType):
             quoted, bare = lambda c: F.encode(c, "UTF-8"), typed(raw, to, strict)
@@ -267,8 +295,8 @@ def decode_literal(raw: Column, to: T.DataType, strict: bool = True) -> Column:
             quoted, bare = lambda c: c, F.when(hexed, F.decode(typed(raw, T.BinaryType()), "UTF-8")).otherwise(raw)
         value = F.when(single, quoted(unescape_string(inner))).when(double, quoted(doubled)).otherwise(bare)
     else:
-        value = typed(F.trim(raw, F.lit("'\"")), to, strict)
-    return F.when(~((F.length(raw) == 4) & (F.upper(raw) == "NULL")), value)
+        value = F.when(single | double, typed(inner, to, strict)).otherwise(typed(raw, to, strict))
+    return F.when(~raw.isin("NULL", "null", "Null"), value)
 
 
 def load_dump(
@@ -284,6 +312,5 @@ def load_dump(
     rows = dump_rows(statements, table, schema.names)
     out = []
     for i, f in enumerate(schema.fields):
-        raw = F.trim(F.col("values")[i], F.lit(_BLANKS))
-        out.append(decode_literal(raw, f.dataType).alias(f.name))
+        out.append(decode_literal(F.col("values")[i], f.dataType).alias(f.name))
     return rows.select(*out)

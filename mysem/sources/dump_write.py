@@ -131,4 +131,4 @@ def export_inserts(
 
 def export_schema(df: DataFrame, path: str, table: str) -> None:
     """Write the CREATE TABLE statement as a dump file."""
-    df.sparkSession.createDataFrame([(create_table(df, table),)], "value string").coalesce(1).write.text(path)
+    df.sparkSession.range(1).select(F.lit(create_table(df, table)).alias("value")).coalesce(1).write.text(path)

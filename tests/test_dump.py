@@ -250,8 +250,12 @@ def test_load_by_name(load):
 def test_load_errors(load):
     with pytest.raises(Exception, match="wrong number of values"):
         load("INSERT INTO t VALUES (1,2);\n", "t", "a int")
+    with pytest.raises(Exception, match="wrong number of values"):
+        load("INSERT INTO t VALUES (1,2),(3,4,5,6);\n", "t", "a int, b int, c int")
     with pytest.raises(Exception, match="not a list of literal rows"):
         load("INSERT INTO t VALUES (NOW(),2);\n", "t", "a string, b int")
+    with pytest.raises(Exception, match="not a list of literal rows"):
+        load("INSERT INTO t VALUES (1,2) ON DUPLICATE KEY UPDATE b=VALUES(b);\n", "t", "a int, b int")
     with pytest.raises(Exception, match="not a list of literal rows"):
         load("INSERT INTO t SELECT * FROM s;\n", "t", "a int")
 

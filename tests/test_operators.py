@@ -122,6 +122,7 @@ def test_limit_and_found_rows(spark):
     df = spark.range(50).toDF("id")
     got = relational.limit_offset(relational.found_rows(df), "id", 10, 3)
     assert [tuple(r) for r in got.collect()] == [(10, 50), (11, 50), (12, 50)]
+    assert [tuple(r) for r in relational.limit_offset(df, "id desc", 10, 3, deep=5).collect()] == [(39,), (38,), (37,)]
     sample = relational.random_sample_order(df, 7, seed=1)
     assert sample.distinct().count() == 7
 
@@ -321,3 +322,24 @@ def test_enum(spark):
 def test_table_status_empty(spark):
     got = profile.table_status({"e": spark.range(0), "t": spark.createDataFrame([(1, "é", [1])], "i int, s string, a array<int>")})
     assert rows(got) == [("e", 0, 0, 0), ("t", 1, 6, 6)]
+
+
+def test_hot_key_joins_can_be_split(spark):
+    """The join of a hot target with its reduced source reads two shuffles of its own."""
+    target = spark.range(1000).selectExpr("cast(least(id, 3) as int) as k", "id as v")
+    source = spark.range(10).selectExpr("cast(id as int) as k", "id as w").repartition(3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (
+            mutate.update_join(target, source, {"k": "k"}, {"v": "s.w"}),
+            mutate.delete_join(target, source, {"k": "k"}),
+        ):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 3, plan
+            sorts = plan[plan.index("SortMergeJoin") :].split(" Sort [")[1:]
+            direct = [part.splitlines()[1] for part in sorts]
+            assert sum("Exchange hashpartitioning" in line for line in direct) >= 2, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
