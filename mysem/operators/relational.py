@@ -48,5 +48,8 @@ def random_sample_order(df: DataFrame, n: int, seed: int | None = None) -> DataF
 
 
 def minus_except(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``a MINUS b``, without duplicates."""
-    return a.subtract(b)
+    """``a MINUS b``, without duplicates.
+
+    Repeated rows are dropped before the sides meet, so none fills a task.
+    """
+    return a.distinct().subtract(b.distinct())

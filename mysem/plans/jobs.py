@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -89,6 +92,12 @@ def parents_first(tables: list[str], parents: dict[str, list[str]] | None) -> li
     return out
 
 
+def _each(names: list[str], job: Callable, spark: SparkSession, parallel: int) -> list:
+    """Run ``job`` per table, a few at a time, so small tables do not leave executors idle."""
+    with ThreadPoolExecutor(max(parallel, 1)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(job), names))
+
+
 def _selected(names: list[str], only: list[str] | None, ignore: list[str] | None) -> list[str]:
     return [n for n in names if (not only or n in only) and n not in (ignore or [])]
 
@@ -102,6 +111,7 @@ def dump_all_tables(
     schema: bool = True,
     data: bool = True,
     parents: dict[str, list[str]] | None = None,
+    parallel: int = 4,
     **options,
 ) -> list[str]:
     """Export tables as dump folders ``path/NNN-table-schema`` and ``path/NNN-table-data``.
@@ -109,11 +119,16 @@ def dump_all_tables(
     Folder names sort parents first. Returns the exported names.
     """
     names = parents_first(_selected(list(tables), only, ignore), parents)
-    for i, n in enumerate(names):
+
+    def dump(n: str) -> None:
+        place = f"{path}/{names.index(n):03d}-{n}"
         if schema:
-            export_schema(tables[n], f"{path}/{i:03d}-{n}-schema", n)
+            export_schema(tables[n], f"{place}-schema", n)
         if data:
-            export_inserts(tables[n], f"{path}/{i:03d}-{n}-data", n, where=where, **options)
+            export_inserts(tables[n], f"{place}-data", n, where=where, **options)
+
+    if names:
+        _each(names, dump, tables[names[0]].sparkSession, parallel)
     return names
 
 
@@ -136,6 +151,7 @@ def migrate_tables(
     mode: str = "truncate",
     validate: bool = True,
     force: bool = False,
+    parallel: int = 4,
 ) -> DataFrame:
     """Load tables into parquet tables ``target/<table>``.
 
@@ -153,15 +169,17 @@ def migrate_tables(
     else:
         names = list(dict.fromkeys([*schemas, *declared]))
         source = by_table(read_dump(spark, source))
-    report = []
-    for n in _selected(names, tables, exclude):
+
+    def load(n: str) -> tuple:
         try:
             rows, rejected = _source_rows(spark, source, n, schemas, declared)
-            report.append((n, *_load_one(rows, rejected, f"{target}/{n}", mode, keys.get(n), validate), None))
+            return (n, *_load_one(rows, rejected, f"{target}/{n}", mode, keys.get(n), validate), None)
         except Exception as e:
             if not force:
                 raise
-            report.append((n, None, None, None, False, str(e)[:500]))
+            return (n, None, None, None, False, str(e)[:500])
+
+    report = _each(_selected(names, tables, exclude), load, spark, parallel)
     return spark.createDataFrame(
         report,
         "table_name string, source_rows bigint, target_rows bigint, rejected_rows bigint, match boolean, error string",

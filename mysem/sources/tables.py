@@ -43,30 +43,37 @@ def load_data(
 
 
 def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:
-    """Tab-separated text with a header and the word NULL for NULLs."""
+    """Tab-separated text with a header and the word NULL for NULLs.
+
+    Texts with a tab, quote or line feed, and empty ones, stand in quotes.
+    """
+    # As text a moment shows its fraction only when there is one.
+    moments = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
     (
-        df.write.option("sep", "\t")
+        df.withColumns({c: F.col(f"`{c}`").cast("string") for c in moments})
+        .write.option("sep", "\t")
         .option("header", header)
         .option("nullValue", "NULL")
-        .option("emptyValue", "")
+        .option("emptyValue", '""')
         .option("quote", '"')
         .option("escape", '"')
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
         .csv(path)
     )
 
 
-def read_tsv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
-    """Read what :func:`write_tsv` wrote."""
+def read_tsv(
+    spark: SparkSession, path: str, schema: T.StructType, header: bool = True, multi_line: bool = False
+) -> DataFrame:
+    """Read what :func:`write_tsv` wrote; ``multi_line`` as in :func:`load_data`."""
     return (
         spark.read.schema(schema)
         .option("sep", "\t")
         .option("header", header)
         .option("mode", "FAILFAST")
+        .option("multiLine", multi_line)
         .option("nullValue", "NULL")
         .option("emptyValue", "")
         .option("quote", '"')
         .option("escape", '"')
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
         .csv(path)
     )

@@ -350,6 +350,23 @@ def test_tsv(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "t")).collect()) == ["1\tAlice", "2\tNULL", "id\tname"]
 
 
+def test_tsv_round_trip(spark, tmp_path):
+    df = spark.createDataFrame(
+        [
+            (1, "tab\there", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 0, 0, 5)),
+            (2, 'q "x"\nline', dt.datetime(1999, 12, 31, 23, 59, 59), None),
+            (3, "", None, None),
+        ],
+        "id int, s string, a timestamp, b timestamp_ntz",
+    )
+    tables.write_tsv(df, str(tmp_path / "t"))
+    assert "2024-01-01 00:00:00\t2024-01-01 00:00:00.000005" in "".join(
+        r.value for r in spark.read.text(str(tmp_path / "t")).collect()
+    )
+    back = tables.read_tsv(spark, str(tmp_path / "t"), df.schema, multi_line=True)
+    assert sorted(back.collect()) == sorted(df.collect())
+
+
 # --- whole dumps ---
 
 
