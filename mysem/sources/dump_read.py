@@ -24,7 +24,8 @@ _STRING = f"{_SINGLE}|{_DOUBLE}|{_TICKED}"
 
 # A comment goes, what a conditional comment holds stays.
 _COMMENTS = rf"(?s)({_STRING})|/\*!\d*\s*((?:[^*]++|\*(?!/))*+)\*/|/\*(?:[^*]++|\*(?!/))*+\*/|--[^\n]*+\n?"
-_BALANCED = rf"(?s)^(?:[^'\"`]++|{_STRING})*+$"
+# Neither a quoted text nor a comment is left open.
+_BALANCED = rf"(?s)^(?:[^'\"`/]++|/(?!\*)|{_STRING})*+$"
 _STATEMENT = rf"(?s)((?:[^;'\"`]++|{_STRING})++)"
 _MARKER = r"(?i)(?:^|\n)DELIMITER[ \t]"
 _SECTION_PART = r"(?is)(?:^|\n)DELIMITER[ \t]+(\S+)[^\n]*+((?:(?!\nDELIMITER[ \t]).)*+)"
@@ -104,7 +105,7 @@ def _explode_statements(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     )
     broken = F.raise_error(
         F.concat(
-            F.lit("a quoted text is cut at the end of a statement, read this dump with whole_files=True: "),
+            F.lit("a quoted text or comment is cut at the end of a statement, read this dump with whole_files=True: "),
             F.substring(body, 1, 80),
         )
     )
@@ -152,13 +153,13 @@ def _sections(records: DataFrame) -> DataFrame | None:
     One entry per routine or trigger of a schema, so the result is small; it is
     broadcast only when it has been found to be.
     """
-    text = strip_comments(F.concat(F.col("value"), F.lit(";")))
-    marks = records.where(
-        F.contains(F.upper("value"), F.lit("DELIMITER")) & F.regexp_like("value", F.lit(_MARKER))
-    ).select(
+    found = records.where(F.contains(F.upper("value"), F.lit("DELIMITER")) & F.regexp_like("value", F.lit(_MARKER)))
+    # A DELIMITER line inside a quoted text is no mark.
+    text = F.regexp_replace(strip_comments(F.concat(F.col("value"), F.lit(";"))), f"(?s){_STRING}", "")
+    marks = found.select(
         "file",
         F.struct("block", "seq").alias("at"),
-        F.element_at(F.regexp_extract_all(text, F.lit(_SECTION_PART), F.lit(1)), -1).alias("last"),
+        F.try_element_at(F.regexp_extract_all(text, F.lit(_SECTION_PART), F.lit(1)), F.lit(-1)).alias("last"),
     )
     marks = marks.where("last is not null").select("file", F.struct("at", (F.col("last") != ";").alias("opens")).alias("m"))
     n = marks.count()
@@ -172,8 +173,8 @@ def _sections(records: DataFrame) -> DataFrame | None:
         begins,
         lambda b, i: F.struct(b["at"].alias("lo"), F.coalesce(F.get(ends, i)["at"], far).alias("hi")),
     )
-    found = files.select("file", ranges.alias("ranges"))
-    return F.broadcast(found) if n <= SMALL_MARKS else found
+    places = files.select("file", ranges.alias("ranges"))
+    return F.broadcast(places) if n <= SMALL_MARKS else places
 
 
 def _routine_statements(records: DataFrame, line_sep: str) -> DataFrame:
@@ -195,7 +196,7 @@ def _routine_statements(records: DataFrame, line_sep: str) -> DataFrame:
     pieces = whole.select("file", "block", "seq", F.posexplode(pieces).alias("p", "piece"))
     pieces = pieces.select("file", "block", "seq", "p", "piece.*")
     standard = _explode_statements(pieces.where("mark = ';'"), "body", ["file", "block", "seq", "p"])
-    own = F.split("body", F.concat(F.lit("\\Q"), F.col("mark"), F.lit("\\E")))
+    own = F.split(strip_comments(F.col("body")), F.concat(F.lit("\\Q"), F.col("mark"), F.lit("\\E")))
     custom = pieces.where("mark <> ';'").select("file", "block", "seq", "p", F.posexplode(own).alias("part", "body"))
     custom = custom.withColumn("body", F.trim("body", F.lit(_BLANKS)))
     # Statements of one piece follow those of the piece before.

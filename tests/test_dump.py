@@ -157,6 +157,28 @@ def test_delimiter(dump, whole, mark):
     ]
 
 
+def test_trigger_in_conditional_comments(dump):
+    text = (
+        "DELIMITER ;;\n/*!50003 CREATE*/ /*!50017 DEFINER=`a`@`b`*/ /*!50003 TRIGGER g BEFORE INSERT ON t FOR EACH ROW BEGIN\n"
+        "SET NEW.a = 'x;y';\nEND */;;\nDELIMITER ;\nINSERT INTO t VALUES (1);\n"
+    )
+    got = dump(text)
+    assert [c for c, *_ in got] == ["other", "data"]
+    assert got[0][2].startswith("CREATE DEFINER=`a`@`b` TRIGGER g") and got[0][2].endswith("SET NEW.a = 'x;y';\nEND")
+
+
+def test_delimiter_word_in_a_text(dump):
+    text = "INSERT INTO t VALUES ('a\nDELIMITER //\nb');\nINSERT INTO t VALUES (2);\n"
+    assert [c for c, *_ in dump(text)] == ["data", "data"]
+
+
+def test_cut_comment_is_an_error(dump):
+    text = "/* old;\nrows */ INSERT INTO t VALUES (1);\n"
+    with pytest.raises(Exception, match="whole_files=True"):
+        dump(text)
+    assert dump(text, whole_files=True) == [("data", "t", "INSERT INTO t VALUES (1)")]
+
+
 def test_two_delimiter_sections(dump):
     section = "DELIMITER ;;\nCREATE PROCEDURE p%d() BEGIN SELECT 1;\nSELECT 2; END ;;\nDELIMITER ;\n"
     text = "SELECT 0;\n" + section % 1 + "INSERT INTO t VALUES (1);\n" + section % 2 + "SELECT 3;\n"
