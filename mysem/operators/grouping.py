@@ -4,7 +4,7 @@ A group's text or array is one value in the end. Small groups use the
 built-in aggregates. When the largest group exceeds ``hot_rows``, rows are
 sorted across many partitions, each partition joins its share of a group and
 only finished parts meet, so a group that holds most of the table is never
-sorted or held row by row in one task.
+sorted or held row by row in one task. ``hot_rows=0`` does so without measuring.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def group_concat(
     NULLs are skipped; a group with nothing left gives NULL.
     """
     df = df.withColumn("__v", col(value).cast("string"))
-    if largest_group(df, by) <= hot_rows:
+    if hot_rows and largest_group(df, by) <= hot_rows:
         sort = ordering.items(order)
         df = df.select(*by, "__v", *[s.expr.alias(f"__o{i}") for i, s in enumerate(sort)])
         if not sort:
@@ -74,7 +74,7 @@ def array_agg(
 ) -> DataFrame:
     """All values of a group, NULLs included, as an array in ``order``."""
     df = df.withColumn("__v", col(value))
-    if largest_group(df, by) > hot_rows:
+    if not hot_rows or largest_group(df, by) > hot_rows:
         parts = _parts(df, by, order, lambda v: v)
         return parts.select(*by, F.flatten("__parts").alias(alias))
     # The place in a sorted partition stands for the sort order of its rows;

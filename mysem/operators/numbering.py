@@ -55,9 +55,10 @@ def seq_in_group(df: DataFrame, by: list[str], order, alias: str, hot_rows: int
 
     The largest group is measured first. Up to ``hot_rows`` the plain window
     is used; beyond it, groups are cut along the sorted partitions.
+    ``hot_rows=0`` does so without measuring.
     """
     order = ordering.columns(order)
-    if largest_group(df, by) <= hot_rows:
+    if hot_rows and largest_group(df, by) <= hot_rows:
         return df.withColumn(alias, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
 
     placed = sorted_places(df, [*[F.col(f"`{c}`") for c in by], *order])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,8 +74,9 @@ def insert_statements(
 ) -> DataFrame:
     """One row ``value`` per INSERT statement of up to ``rows_per_stmt`` rows.
 
-    Literals are built by Spark expressions; Python only strings finished
-    tuples together, partition by partition, without a shuffle.
+    Literals are built by Spark expressions; Arrow only strings finished
+    tuples together, batch by batch, without a shuffle. For tables of very
+    long texts lower ``spark.sql.execution.arrow.maxRecordsPerBatch``.
     """
     name = (lambda n: f"`{n}`") if quote_names else str
     head = f"{HEADS[mode]} {name(table)}"
@@ -87,18 +89,21 @@ def insert_statements(
         return rows.select(F.concat(F.lit(head), "value", F.lit(";")).alias("value"))
 
     def join_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[str] = []
+        waiting = None
         for batch in batches:
-            waiting += batch.column(0).to_pylist()
-            full = len(waiting) - len(waiting) % rows_per_stmt
-            yield statements(waiting[:full])
-            waiting = waiting[full:]
-        yield statements(waiting)
-
-    def statements(tuples: list[str]) -> pa.RecordBatch:
-        groups = range(0, len(tuples), rows_per_stmt)
-        lines = [head + ",".join(tuples[i : i + rows_per_stmt]) + ";" for i in groups]
-        return pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+            rows = batch.column(0)
+            rows = rows if waiting is None else pa.concat_arrays([waiting, rows])
+            full = len(rows) - len(rows) % rows_per_stmt
+            if full:
+                yield statements(rows[:full])
+            waiting = rows[full:]
+        if waiting is not None and len(waiting):
+            yield statements(waiting)
+
+    def statements(rows: pa.Array) -> pa.RecordBatch:
+        starts = pa.array([*range(0, len(rows), rows_per_stmt), len(rows)], pa.int32())
+        joined = pc.binary_join(pa.ListArray.from_arrays(starts, rows), ",")
+        return pa.RecordBatch.from_arrays([pc.binary_join_element_wise(head, joined, ";", "")], ["value"])
 
     return rows.mapInArrow(join_rows, "value string")
 

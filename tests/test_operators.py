@@ -64,7 +64,7 @@ def test_group_concat_distinct(skewed, hot_rows):
     }
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10**9])
+@pytest.mark.parametrize("hot_rows", [0, 10, 10**9])
 def test_array_agg(skewed, hot_rows):
     want = {}
     for r in sorted(skewed.collect(), key=lambda r: (r.o, -r.id)):
