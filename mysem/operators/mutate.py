@@ -7,6 +7,8 @@ Duplicate keys in a source are an error unless the caller says which row wins.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,28 +111,25 @@ def _first_without_conflict(df: DataFrame, keys: list[list[str]], order) -> Data
     the row before them may itself be dropped. Every round settles at least
     the earliest waiting row, and all rows that lead their keys at once.
     """
-    rank = F.struct(*[i.expr for i in ordering.items(order)], F.xxhash64(*df.columns), _row(df))
-    free = F.lit(True)
+    rank = F.struct(*[i.expr for i in ordering.items(order)], F.xxhash64(*df.columns), _row(df).alias(_ROW))
+    held = F.lit(0)
     for k in keys:
-        free = free & _has_null(k)
-    kept = [df.where(free)]
+        held = held + F.when(_has_null(k), 0).otherwise(1)
+    kept = [df.where(held == 0)]
     # Equal rows conflict with each other, so one of them stands for all.
-    waiting = written(df.where(~free).distinct().withColumn("__rank", rank), "waiting")
+    waiting = written(df.where(held > 0).distinct(), "waiting")
     while not waiting.isEmpty():
-        leads, is_lead = waiting, F.lit(True)
-        for i, k in enumerate(keys):
-            best = waiting.where(~_has_null(k)).groupBy(*k).agg(F.min("__rank").alias(f"__best{i}"))
-            leads = leads.join(best, k, "left")
-            is_lead = is_lead & (F.col(f"__best{i}").isNull() | (F.col(f"__best{i}") == F.col("__rank")))
-        now = written(leads.where(is_lead).select(*waiting.columns), "kept")
-        kept.append(now.select(*df.columns))
+        # The first row of each key comes from an aggregate, so a key that
+        # fills the table costs one row per task.
+        first = [waiting.where(~_has_null(k)).groupBy(*k).agg(F.min(rank).alias("r")).select("r") for k in keys]
+        leads = reduce(DataFrame.union, first).groupBy("r").agg(F.count("*").alias("__leads"))
+        leads = leads.select(f"r.{_ROW}.*", "__leads").where(F.col("__leads") == held)
+        now = written(leads.select(*df.columns), "kept")
+        kept.append(now)
         for k in keys:
             waiting = waiting.join(_distinct_keys(now, k), k, "left_anti")
-        waiting = written(waiting.select(*df.columns, "__rank"), "waiting")
-    out = kept[0]
-    for k in kept[1:]:
-        out = out.unionByName(k)
-    return out
+        waiting = written(waiting.select(*df.columns), "waiting")
+    return reduce(DataFrame.unionByName, kept)
 
 
 def upsert(

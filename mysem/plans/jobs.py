@@ -23,11 +23,15 @@ def _union(dfs: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, dfs)
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """``table_name, n_rows`` for each table."""
-    return _union(
+def row_counts(tables: dict[str, DataFrame], total: bool = False) -> DataFrame:
+    """``table_name, n_rows`` for each table; ``total`` adds a row named ``total``."""
+    counts = _union(
         [df.agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows") for n, df in tables.items()]
     )
+    if not total:
+        return counts
+    summed = counts.rollup("table_name").agg(F.sum("n_rows").alias("n_rows"))
+    return summed.fillna("total", ["table_name"])
 
 
 def validate_counts(source: dict[str, DataFrame], target: dict[str, DataFrame]) -> DataFrame:

@@ -183,6 +183,16 @@ def _(t):
     return report.drop("error")
 
 
+@query(
+    "row_counts",
+    """with c as (select 'nation' as table_name, count(*) as n_rows from nation union all select 'events', count(*) from events
+      union all select 'pages', count(*) from pages)
+    select * from c union all select 'total', sum(n_rows) from c""",
+)
+def _(t):
+    return jobs.row_counts({n: getattr(t, n) for n in ("nation", "events", "pages")}, total=True)
+
+
 @query(
     "validate_counts",
     "select 'orders' as table_name, count(*) as source_rows, count(*) filter (where o_orderstatus <> 'P') as target_rows, false as match from orders"

@@ -121,6 +121,28 @@ def _(t):
     )
 
 
+@query(
+    "group_concat_ordered_split",
+    """select event_type, string_agg(cast(event_id as varchar), ',' order by value, event_id desc) as ids from events
+    group by event_type""",
+)
+def _(t):
+    # The plan for groups too large for one task.
+    order = ["value", "event_id desc"]
+    return grouping.group_concat(t.events, ["event_type"], "event_id", order=order, alias="ids", hot_rows=0)
+
+
+@query(
+    "array_agg_ordered_split",
+    """select o_orderstatus, array_to_string(list(o_orderkey order by o_totalprice desc, o_orderkey), ' ') as keys from orders
+    group by o_orderstatus""",
+)
+def _(t):
+    order = ["o_totalprice desc", "o_orderkey"]
+    out = grouping.array_agg(t.orders, ["o_orderstatus"], "o_orderkey", order, alias="keys", hot_rows=0)
+    return out.select("o_orderstatus", F.array_join(F.transform("keys", lambda k: k.cast("string")), " ").alias("keys"))
+
+
 @query(
     "with_rollup",
     """select o_orderstatus, o_orderpriority, count(*) as n, cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total
@@ -189,6 +211,18 @@ def _(t):
     return numbering.seq_in_group(events, ["user_id"], ["ts", "event_id"], "seq").drop("ts")
 
 
+@query(
+    "seq_in_group_split",
+    """select o_orderkey, o_orderstatus,
+      cast(row_number() over (partition by o_orderstatus order by o_totalprice desc, o_orderkey) as integer) as seq from orders""",
+)
+def _(t):
+    # The plan for groups too large for one task.
+    orders = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    order = ["o_totalprice desc", "o_orderkey"]
+    return numbering.seq_in_group(orders, ["o_orderstatus"], order, "seq", hot_rows=0).drop("o_totalprice")
+
+
 @query(
     "found_rows",
     """select o_orderkey, o_totalprice, count(*) over () as found_rows from orders where o_orderstatus = 'F'
@@ -208,6 +242,15 @@ def _(t):
     return relational.limit_offset(t.lineitem, order, 100, 25).select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
+@query(
+    "limit_offset_deep",
+    "select o_orderkey, o_totalprice from orders order by o_totalprice, o_orderkey limit 50 offset 700",
+)
+def _(t):
+    df = t.orders.select("o_orderkey", "o_totalprice")
+    return relational.limit_offset(df, ["o_totalprice", "o_orderkey"], 700, 50, deep=0)
+
+
 @query(
     "order_by",
     "select c_custkey, nullif(c_mktsegment, 'BUILDING') as seg from customer order by seg nulls last, c_custkey desc",
