@@ -187,7 +187,7 @@ def _(t):
     "row_counts",
     """with c as (select 'nation' as table_name, count(*) as n_rows from nation union all select 'events', count(*) from events
       union all select 'pages', count(*) from pages)
-    select * from c union all select 'total', sum(n_rows) from c""",
+    select * from c union all select 'total', cast(sum(n_rows) as bigint) from c""",
 )
 def _(t):
     return jobs.row_counts({n: getattr(t, n) for n in ("nation", "events", "pages")}, total=True)

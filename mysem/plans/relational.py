@@ -182,7 +182,7 @@ def _(t):
 @query(
     "orders_rollup_report",
     """select yr, c_mktsegment, count(*) as n, string_agg(distinct o_orderpriority, ',' order by o_orderpriority) as priorities
-    from (select year(o_orderdate) as yr, c_mktsegment, o_orderpriority from orders join customer on o_custkey = c_custkey
+    from (select cast(year(o_orderdate) as integer) as yr, c_mktsegment, o_orderpriority from orders join customer on o_custkey = c_custkey
       where c_mktsegment ilike '%i%')
     group by rollup(yr, c_mktsegment)""",
 )
