@@ -343,3 +343,29 @@ def test_hot_key_joins_can_be_split(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_hot_key_joins_are_split(spark):
+    """With a third of the target on one key, adaptive execution cuts that key's partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50kb",
+    }
+    target = spark.range(0, 300_000, 1, 8).selectExpr("cast(if(id % 3 = 0, 1, id) as int) as k", "id as v")
+    source = spark.range(0, 5000).selectExpr("cast(id as int) as k", "id as w").repartition(3)
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for df in (
+            mutate.update_join(target, source, {"k": "k"}, {"v": "s.w"}),
+            mutate.delete_join(target, source, {"k": "k"}),
+            mutate.replace_into(target.selectExpr("k", "v as w"), source, ["k"]),
+        ):
+            df.collect()
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
