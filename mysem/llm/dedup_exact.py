@@ -100,7 +100,8 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     chunks = recipes.select("row", F.explode(F.arrays_zip("recipe", "high", "low")).alias("c")).select("row", "c.*")
     store = chunks.groupBy("recipe").agg(*[f(c).alias(f"{n}_{c}") for c in ("high", "low") for n, f in (("least", F.min), ("most", F.max))])
-    shared = store.where("least_high <> most_high OR least_low <> most_low").select("recipe")
+    # Written, so that the join below has a plain table on either side and Spark can split a hot chunk.
+    shared = written(store.where("least_high <> most_high OR least_low <> most_low").select("recipe"), "shared-identifiers")
     # Documents with an identifier of two different chunks; none in practice.
     unsure = chunks.select("row", "recipe").join(shared, "recipe", "left_semi").select("row").distinct().withColumn("unsure", F.lit(True))
     keyed = recipes.join(unsure, "row", "left").select(
