@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mysem.llm import decontaminate, dedup_exact, language, sharding
+from mysem.llm import decontaminate, dedup_exact, language, pieces, sharding
 from mysem.llm.registry import query, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -67,3 +67,9 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """24 shards, each with the mixture of sources."""
     placed = sharding.interleaved(table(spark, sf_dir, "documents"), shards=24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op9_sentencepiece")
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of each document, decoded again."""
+    return pieces.encode_texts(table(spark, sf_dir, "documents"))
