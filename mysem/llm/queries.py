@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mysem.llm import decontaminate, dedup_exact, language, pieces, sharding
+from mysem.llm import decontaminate, dedup_exact, language, pieces, sharding, toxicity
 from mysem.llm.registry import query, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -73,3 +73,13 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token ids of each document, decoded again."""
     return pieces.encode_texts(table(spark, sf_dir, "documents"))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How toxic each document is, and its offending sentences."""
+    docs = table(spark, sf_dir, "documents")
+    weights = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, weights, toxicity.is_held_out("doc_id").alias("held_out")).select(
+        "doc_id", "held_out", "score", "predicted", "n_sentences", "offending"
+    )
