@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mysem.llm import decontaminate, dedup_exact, language, pieces, sharding, toxicity
+from mysem.llm import decontaminate, dedup_exact, language, pieces, quality, sharding, toxicity
 from mysem.llm.registry import query, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -83,3 +83,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, weights, toxicity.is_held_out("doc_id").alias("held_out")).select(
         "doc_id", "held_out", "score", "predicted", "n_sentences", "offending"
     )
+
+
+@query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How good each document is, learned without labels."""
+    return quality.assess(table(spark, sf_dir, "documents"))
