@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mysem.llm import decontaminate, dedup_exact, language, neardup, pieces, quality, sharding, toxicity
+from mysem.llm import decontaminate, dedup_exact, language, neardup, pieces, quality, secrets, sharding, toxicity
 from mysem.llm.registry import query, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -95,3 +95,9 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of near-duplicate documents and each document's number of links."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op6_secrets")
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
