@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mysem.llm import decontaminate, dedup_exact, language, neardup, pieces, quality, secrets, sharding, toxicity
+from mysem.llm import decontaminate, dedup_exact, language, neardup, pieces, pii, quality, secrets, sharding, toxicity
 from mysem.llm.registry import query, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -101,3 +101,9 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of each document."""
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op5_pii")
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of each document."""
+    return pii.scan(table(spark, sf_dir, "documents"))
