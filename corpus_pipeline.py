@@ -1,17 +1,73 @@
-"""The corpus pipeline: stages over the documents table."""
+"""The corpus pipeline: documents in a known language, once each, free of benchmark text, as tokens."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mysem.llm.dedup_exact import exact_duplicates
-from mysem.llm.texts import without
+from mysem.llm import decontaminate, dedup_exact, language, neardup, pieces
+from mysem.llm.registry import query, table
+from mysem.session import written
 
+# Less of a text's n-grams in its best language than this, and the text is rejected.
+LEAST_LANGUAGE_SCORE = 0.3
 
-def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the largest id of each group of equal texts."""
-    found = exact_duplicates(docs)
-    return without(docs, found.where("NOT kept"))
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose id is in ``gone``; rows without an id stay."""
+    return docs.join(gone.select(F.col("doc_id").alias("__gone")), F.col("doc_id") == F.col("__gone"), "left_anti")
 
-STAGES = [("exact dedup", drop_copies)]
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop texts without letters and texts that resemble no language of the labelled rows; with no labelled row drop only the former.
+
+    The columns travel with the prediction, so nothing is shuffled.
+    """
+    filters = language.train(docs)
+    if not filters.languages:
+        return docs.where(F.coalesce(docs["text"].rlike(r"\p{L}"), F.lit(False)))
+    names = [f"__{i}" for i in range(len(docs.columns))]
+    judged = language.predict(docs, filters, *[docs[c].alias(n) for c, n in zip(docs.columns, names)])
+    kept = judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])
+
+
+def one_of_each_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, keep the document with the largest id."""
+    return _without(docs, dedup_exact.exact_duplicates(docs).where("NOT kept"))
+
+
+def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates, keep the document with the least id."""
+    return _without(docs, neardup.near_duplicates(docs).where("class_id <> doc_id"))
+
+
+def free_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents with a window of a benchmark item."""
+    return _without(docs, decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0"))
+
+
+def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of what is left, and whether decoding gives the text back."""
+    return pieces.encode_texts(docs)
+
+
+STAGES = [
+    ("language ID", known_language),
+    ("exact dedup", one_of_each_copy),
+    ("n-gram Jaccard join", one_of_each_class),
+    ("benchmark decontamination", free_of_benchmark),
+    ("SentencePiece encoding and decoding", as_tokens),
+]
+
+# The language, near-duplicate and token stages are beyond SQL.
+ORACLE_SQL = None
+
+
+@query("pipeline", ORACLE_SQL)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn, each written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs

@@ -120,7 +120,3 @@ def sums_by_row(values: np.ndarray, starts: np.ndarray, total: int) -> np.ndarra
     running = np.concatenate([[0], np.cumsum(values)])
     return running[np.append(starts[1:], total)] - running[starts]
 
-
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` less the rows whose id is in ``gone``; rows without an id stay."""
-    return docs.join(gone.select(F.col("doc_id").alias("__gone")), F.col("doc_id") == F.col("__gone"), "left_anti")
