@@ -10,7 +10,7 @@ from mysem.llm.registry import query, table
 from mysem.session import written
 
 # Less of a text's n-grams in its best language than this, and the text is rejected.
-LEAST_LANGUAGE_SCORE = 0.3
+LEAST_LANGUAGE_SCORE = 0.1
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
