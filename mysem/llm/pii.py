@@ -41,8 +41,8 @@ MIN_SEEDS = 5
 TRUSTED_PATTERN = 0.5
 TRUSTED_INSTANCE = 0.8
 ROUNDS = 3
-# More patterns than this are not broadcast to count their words.
-BROADCAST_PATTERNS = 100_000
+# Up to so many words of patterns are looked up in a list while the texts are read.
+LISTED_WORDS = 10_000
 
 
 def _neighbours(gap: Column, last: bool) -> Column:
@@ -130,8 +130,8 @@ def _occurrences(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """How often the patterns' words occur in all texts."""
     words = texts.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("word"))
     wanted = patterns.select("word").distinct()
-    if wanted.count() <= BROADCAST_PATTERNS:
-        return words.join(F.broadcast(wanted), "word", "left_semi").groupBy("word").agg(F.count("*").alias("occurs"))
+    if wanted.count() <= LISTED_WORDS:
+        return words.where(F.col("word").isin([r.word for r in wanted.collect()])).groupBy("word").agg(F.count("*").alias("occurs"))
     return words.groupBy("word").agg(F.count("*").alias("occurs")).join(wanted, "word", "left_semi")
 
 
