@@ -46,6 +46,21 @@ def logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+class Weights:
+    """Weights as the few that are not zero, which is what is broadcast; a task spreads them out once."""
+
+    def __init__(self, weights: np.ndarray):
+        self.at = np.flatnonzero(weights).astype(np.int32)
+        self.values = weights[self.at].astype(np.float32)
+
+    @property
+    def dense(self) -> np.ndarray:
+        if "spread" not in self.__dict__:
+            self.spread = np.zeros(SIZE, dtype=np.float32)
+            self.spread[self.at] = self.values
+        return self.spread
+
+
 def part_scores(weights: np.ndarray, features: np.ndarray, amounts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Probability of each part; ``sizes`` are the numbers of features of the parts."""
     starts = np.cumsum(sizes) - sizes
@@ -63,18 +78,18 @@ def train(examples: DataFrame, bias: float, rate: float = 0.5, decay: float = 1e
     spark = examples.sparkSession
     examples = written(examples.repartition(PARTITIONS), "examples")
     common = examples.select(F.explode(F.array_distinct("features")).alias("at")).groupBy("at").count().where(F.col("count") >= MIN_DOCUMENTS)
-    usable = np.zeros(SIZE, dtype=bool)
-    usable[common.select("at").toPandas()["at"].to_numpy(dtype=np.int64)] = True
-    usable[SIZE - 1] = True
+    usable = np.append(common.select("at").toPandas()["at"].to_numpy(dtype=np.int32), np.int32(SIZE - 1))
     used = spark.sparkContext.broadcast(usable)
     weights = np.zeros(SIZE, dtype=np.float32)
     weights[SIZE - 1] = bias
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(weights)
+        shared = spark.sparkContext.broadcast(Weights(weights))
 
         def fit(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            start = shared.value
+            start = shared.value.dense
             w = start.astype(np.float64)
+            allowed = np.zeros(SIZE, dtype=bool)
+            allowed[used.value] = True
             squares = np.full(SIZE, 1e-2)
             for batch in batches:
                 rows = list(zip(batch.column("label").to_pylist(), *(batch.column(c) for c in ("features", "amounts", "parts"))))
@@ -95,7 +110,7 @@ def train(examples: DataFrame, bias: float, rate: float = 0.5, decay: float = 1e
                     bias_change = slope.sum() / max(1.0, n_parts.mean())
                     at, where = np.unique(np.append(features, SIZE - 1), return_inverse=True)
                     change = np.bincount(where, weights=np.append(np.repeat(slope, sizes) * amounts, bias_change))
-                    at, change = at[used.value[at]], change[used.value[at]]
+                    at, change = at[allowed[at]], change[allowed[at]]
                     step = change - decay * w[at]
                     squares[at] += step * step
                     w[at] += rate * step / np.sqrt(squares[at])
@@ -104,6 +119,7 @@ def train(examples: DataFrame, bias: float, rate: float = 0.5, decay: float = 1e
 
         # The usable features: those of MIN_DOCUMENTS of a bounded sample.
         mixed = examples.mapInArrow(fit, "at int, w double").groupBy("at").agg(F.avg("w").alias("w")).toPandas()
+        shared.destroy()
         weights = weights.copy()
         weights[mixed["at"].to_numpy()] = mixed["w"].to_numpy()
     return weights

@@ -189,13 +189,13 @@ def assess(df: DataFrame, most: int = MAX_TRAINING_DOCUMENTS, id_col: str = "doc
     # At most twice ``most`` rows of an id and a few letters.
     sample = F.broadcast(hashed.sampled(ids, most))
     weights = hashed.train(T.map_runs(rows.join(sample, "doc_id"), hashed.EXAMPLES, example), bias=0.0)
-    model = df.sparkSession.sparkContext.broadcast(weights)
+    model = df.sparkSession.sparkContext.broadcast(hashed.Weights(weights))
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [t or "" for t in batch.column("text").to_pylist()]
         stats = statistics(texts)
         cast_now = votes(stats)
-        p = hashed.part_scores(model.value, *features(texts, stats))
+        p = hashed.part_scores(model.value.dense, *features(texts, stats))
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),

@@ -96,14 +96,14 @@ def score(df: DataFrame, weights: np.ndarray, *more: Column, id_col: str = "doc_
     ``offending``: start, end (code points) and probability of the sentences at 0.5 or more. Null and empty texts,
     and texts without words, have no sentence and score 0. Rows that repeat an id each get a row.
     """
-    shared = df.sparkSession.sparkContext.broadcast(weights)
+    shared = df.sparkSession.sparkContext.broadcast(hashed.Weights(weights))
     rows = T.inputs(df, id_col, text_col, *more)
     extra = [f for f in rows.schema.fields if f.name not in ("doc_id", "text")]
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         features, sizes, parts, begin, stop = sentences([t or "" for t in batch.column("text").to_pylist()])
-        p = hashed.part_scores(shared.value, features, 1.0, sizes)
+        p = hashed.part_scores(shared.value.dense, features, 1.0, sizes)
         owner = np.repeat(np.arange(len(parts)), parts)
         highest = np.zeros(len(parts))
         np.maximum.at(highest, owner, p)
