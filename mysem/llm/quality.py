@@ -57,7 +57,8 @@ def statistics(texts: list[str]) -> dict[str, np.ndarray]:
     owner = np.repeat(np.arange(len(texts)), n_words)
     echo = np.zeros(len(at))
     echo[1:] = (words[1:] == words[:-1]) & (owner[1:] == owner[:-1])
-    different = np.unique(np.stack([owner.astype(np.uint64), words]), axis=1)[0] if len(at) else np.zeros(0)
+    # Different words: equal ones of a text have equal keys.
+    different = owner[np.unique(T.mixed(words ^ T.mixed(owner + 1)), return_index=True)[1]]
     line_repeats = np.zeros(len(texts))
     for i, t in enumerate(texts):
         lines = [x for x in t.split("\n") if x]
@@ -71,7 +72,7 @@ def statistics(texts: list[str]) -> dict[str, np.ndarray]:
     lone_sum = T.sums_by_row(lone, token_first, len(token_at))
     chars = (ends - starts).astype(float)
     # Long texts repeat words anyway: compare with what a text of at most 200 words would show.
-    variety = np.where(n_words > 0, ratio(np.bincount(different.astype(int), minlength=len(texts)).astype(float), np.minimum(n_words, 200).astype(float)), 1.0)
+    variety = np.where(n_words > 0, ratio(np.bincount(different, minlength=len(texts)).astype(float), np.minimum(n_words, 200).astype(float)), 1.0)
     return {
         "symbol_share": ratio(per_text(~plain), chars),
         "capital_share": ratio(per_text(upper), per_text(word | upper)),
@@ -117,7 +118,7 @@ def features(texts: list[str], stats: dict[str, np.ndarray]) -> tuple[np.ndarray
     norm = np.sqrt(np.bincount(text, weights=amounts**2, minlength=len(texts)))
     amounts = amounts / np.maximum(norm, 1e-9)[text]
     # The repetition levels weigh as much as all the rest.
-    amounts[np.isin(keys, np.concatenate(levels))] = 0.5
+    amounts[np.searchsorted(keys, np.concatenate(levels))] = 0.5
     return (keys & np.uint64(hashed.SIZE - 1)).astype(np.int32), amounts, sizes
 
 
