@@ -3,7 +3,8 @@
 A document has parts (sentences, or itself as only part); a part has hashed features. A part's
 probability is the logistic of its weights' sum, the document's is noisy-or of its parts. In each
 round every partition starts from the mixed weights, makes one AdaGrad pass over its documents, and
-returns the weights it changed; their means over the partitions that changed them are the next weights.
+returns the weights it changed; their means over the partitions that changed them, less a shrinkage
+towards zero, are the next weights.
 """
 
 from __future__ import annotations
@@ -73,8 +74,12 @@ def noisy_or(scores: np.ndarray, parts: np.ndarray) -> np.ndarray:
     return -np.expm1(T.sums_by_row(np.log1p(-np.clip(scores, 0, 1 - 1e-12)), starts, len(scores)))
 
 
-def train(examples: DataFrame, bias: float, rate: float = 0.5, decay: float = 1e-4, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights fitted to ``examples`` (columns of ``EXAMPLES``), which are few by contract: a bounded sample."""
+def train(examples: DataFrame, bias: float, rate: float = 0.5, decay: float = 1e-4, shrink: float = 0.0, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights fitted to ``examples`` (columns of ``EXAMPLES``), which are few by contract: a bounded sample.
+
+    After each round all weights but the bias move ``shrink`` towards zero and stop there, so that features which
+    do not recur lose their weight.
+    """
     spark = examples.sparkSession
     examples = written(examples.repartition(PARTITIONS), "examples")
     common = examples.select(F.explode(F.array_distinct("features")).alias("at")).groupBy("at").count().where(F.col("count") >= MIN_DOCUMENTS)
@@ -122,4 +127,5 @@ def train(examples: DataFrame, bias: float, rate: float = 0.5, decay: float = 1e
         shared.destroy()
         weights = weights.copy()
         weights[mixed["at"].to_numpy()] = mixed["w"].to_numpy()
+        weights[:-1] = np.sign(weights[:-1]) * np.maximum(np.abs(weights[:-1]) - np.float32(shrink), 0)
     return weights

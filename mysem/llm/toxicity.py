@@ -2,7 +2,9 @@
 
 Only documents are labelled. A sentence's probability is the logistic of the weights of its words and of
 their first four characters (hashed); a document's is noisy-or of its sentences'. Gradients reach the
-sentences through noisy-or, so that the scorer learns which sentences account for the labels.
+sentences through noisy-or, so that the scorer learns which sentences account for the labels. Weights
+shrink after each round: one sentence of a document suffices for its label, and what else stands in it
+must not share the credit.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ MAX_TRAINING_DOCUMENTS = 20_000
 PREFIX = 4
 # Sentences below this probability do not add up, however many; the highest always counts.
 NOISE = 0.05
+# How far weights shrink after each round of training.
+SHRINK = 0.1
 _PREFIX_SALT = np.uint64(0x5851F42D4C957F2D)
 # Characters that end a sentence.
 ENDS = ".!?\n"
@@ -87,7 +91,7 @@ def is_held_out(id_col: str, folds: int = 5, fold: int = 0) -> Column:
 
 def fit(df: DataFrame, labels: DataFrame, most: int = MAX_TRAINING_DOCUMENTS) -> np.ndarray:
     """Weights learned from a documents and a labels table; without examples every score is near 0."""
-    return hashed.train(training_rows(df, labels, most), bias=-5.0)
+    return hashed.train(training_rows(df, labels, most), bias=-5.0, decay=0.0, shrink=SHRINK)
 
 
 def score(df: DataFrame, weights: np.ndarray, *more: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
