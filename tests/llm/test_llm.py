@@ -274,6 +274,26 @@ def test_toxic_sentences_are_found(spark):
     assert {r.doc_id for r in got} == {i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 0}
 
 
+def test_words_beside_toxic_ones_get_no_credit(spark):
+    rng = random.Random(11)
+    plain = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(1500)]
+    toxic = ["xylo" + end for end in ("one", "two")] + ["quirk", "wuzzle", "zonk", "vroom"]
+    rows, marks = [], []
+    for i in range(900):
+        sentences = [" ".join(rng.choices(plain, k=6)) for _ in range(6)]
+        for at in rng.sample(range(6), rng.randint(1, 3)) if i % 4 == 0 else []:
+            sentences[at] += " " + rng.choice(toxic)
+        rows.append((i, ". ".join(sentences) + ".", None, None, None))
+        marks.append((i, int(i % 4 == 0)))
+    docs, labels = table(spark, rows), spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    examples = toxicity.training_rows(docs, labels)
+    weights = toxicity.fit(docs, labels)
+    assert np.count_nonzero(weights) < np.count_nonzero(hashed.train(examples, bias=-5.0)) / 2
+    got = toxicity.score(docs, weights, toxicity.is_held_out("doc_id").alias("held_out")).where("held_out").collect()
+    assert np.mean([r.predicted for r in got if r.doc_id % 4 == 0]) > 0.9
+    assert np.mean([r.predicted for r in got if r.doc_id % 4]) < 0.05
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (3, None), (None, 1), (3, 0), (3, 1), (99, 1)], "doc_id bigint, toxic int")
     weights = toxicity.fit(odd, labels)
