@@ -9,7 +9,7 @@ from mysem.llm import decontaminate, dedup_exact, language, neardup, pieces
 from mysem.llm.registry import query, table
 from mysem.session import written
 
-# Less of a text's n-grams in its best language than this, and the text is rejected.
+# Less of a text's n-grams in its best language than this, and the text is rejected. Only for tables with too few labelled rows to measure a cut.
 LEAST_LANGUAGE_SCORE = 0.1
 
 
@@ -21,14 +21,15 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without letters and texts that resemble no language of the labelled rows; with no labelled row drop only the former.
 
-    The columns travel with the prediction, so nothing is shuffled.
+    How little resemblance is none is measured on labelled rows left out of training. The columns travel with the prediction, so nothing is shuffled.
     """
     filters = language.train(docs)
     if not filters.languages:
         return docs.where(F.coalesce(docs["text"].rlike(r"\p{L}"), F.lit(False)))
+    cut = language.least_score(docs)
     names = [f"__{i}" for i in range(len(docs.columns))]
     judged = language.predict(docs, filters, *[docs[c].alias(n) for c, n in zip(docs.columns, names)])
-    kept = judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    kept = judged.where((F.col("lang_pred") != "und") & (F.col("score") >= (LEAST_LANGUAGE_SCORE if cut is None else cut)))
     return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])
 
 

@@ -27,6 +27,12 @@ HASHES = 3
 BITS_PER_GRAM = 12
 # More languages than this are an error: the filters are broadcast.
 MAX_LANGUAGES = 1024
+# The cut of scores lies between what all but these shares of held-out documents reach in their own language and stay below in the others.
+TAIL = 0.001
+FOREIGN_TAIL = 0.05
+# Scores are tallied this fine, and a cut takes at least this many held-out documents.
+BINS = 1000
+LEAST_MEASURED = 20
 # A task passes its counts on when it has this many different n-grams.
 COUNTS_HELD = 1 << 21
 
@@ -206,6 +212,50 @@ def predict(df: DataFrame, filters: Filters, *more: Column, id_col: str = "doc_i
     return T.map_runs(rows, f"doc_id bigint, {kinds}lang_pred string, score double", decide)
 
 
+def _own_and_other(batch: pa.RecordBatch, model: Filters) -> pa.RecordBatch:
+    """Per text of a known language with a letter its score in that language, and the best in the others (null if there are none)."""
+    hashes, counts = grams([t or "" for t in batch.column("text").to_pylist()])
+    starts = np.cumsum(counts) - counts
+    labels = batch.column("lang").to_numpy(zero_copy_only=False)
+    own, other = np.full(len(counts), np.nan), np.full(len(counts), -1.0)
+    for i, name in enumerate(model.languages):
+        if i % 64 == 0:
+            masks = model.masks(hashes, i // 64)
+        hits = T.sums_by_row((masks >> masks.dtype.type(i % 64)) & masks.dtype.type(1), starts, len(hashes))
+        share = np.clip((hits - counts * model.false_rate[i]) / (1 - model.false_rate[i]) / np.maximum(counts, 1), 0, 1)
+        mine = labels == name
+        own[mine] = share[mine]
+        other[~mine] = np.maximum(other[~mine], share[~mine])
+    known = (counts > 0) & ~np.isnan(own)
+    return pa.RecordBatch.from_arrays([pa.array(own[known]), pa.array(other[known], mask=other[known] < 0)], names=["own", "other"])
+
+
+def least_score(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> float | None:
+    """A cut between the scores of documents of a learned language and those of other languages, or null if there are too few labelled rows to tell.
+
+    Filters learn from three quarters of the labelled texts, picked by the text so that copies stay together, and score the rest:
+    each in its own language, and in the best other one, as if its own had not been learned. The cut is half way between
+    what all but ``TAIL`` of the texts reach in their own language and what all but ``FOREIGN_TAIL`` stay below elsewhere (0 if there is one language).
+    """
+    rows = df.select(F.lit(0).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    apart = F.crc32(F.col("text").cast("binary")) % 4 == 2
+    rows = rows.where("text IS NOT NULL AND lang IS NOT NULL")
+    shared = df.sparkSession.sparkContext.broadcast(train(rows.where(~apart)))
+    scores = T.map_runs(rows.where(apart).select("text", "lang"), "own double, other double", lambda batch: _own_and_other(batch, shared.value))
+    bins = [F.floor(F.col(c) * BINS).cast("int") for c in ("own", "other")]
+    tallies = written(scores.groupBy(bins[0].alias("own"), bins[1].alias("other")).agg(F.count("*").alias("n")), "language-scores")
+
+    def quantile(name: str, share: float) -> float | None:
+        found = tallies.where(F.col(name).isNotNull()).groupBy(name).agg(F.sum("n").alias("n")).orderBy(name).collect()
+        upto = np.cumsum([r.n for r in found])
+        if not len(upto) or upto[-1] < LEAST_MEASURED:
+            return None
+        return found[int(np.searchsorted(upto, share * upto[-1], "right").clip(0, len(found) - 1))][name] / BINS
+
+    own, other = quantile("own", TAIL), quantile("other", 1 - FOREIGN_TAIL)
+    return None if own is None else (own + (other or 0.0)) / 2
+
+
 def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
     """Whether a row is held out of training, by its id; rows without an id are."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold, F.lit(True))

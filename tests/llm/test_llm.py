@@ -504,6 +504,24 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark, odd, none):
     assert corpus_pipeline.known_language(spark, odd, SF).where("text IS NULL").count() == 0
 
 
+UNLEARNED = [
+    "Il vecchio pescatore camminava lentamente lungo la riva del mare, pensando alla giornata che stava per finire.",
+    "O velho pescador caminhava devagar ao longo da praia, pensando no dia que estava a acabar e nos barcos.",
+    "De oude visser liep langzaam langs het strand en dacht aan de dag die bijna voorbij was en aan de boten.",
+    "Den gamle fiskaren gick sakta längs stranden och tänkte på dagen som snart var slut och på båtarna.",
+    "Senex piscator lente per litus ambulabat, de die qui iam finiebatur cogitans et de navibus.",
+]
+
+
+def test_unlearned_languages_are_dropped(spark, docs, none):
+    foreign = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(UNLEARNED)], "doc_id bigint, text string")
+    both = docs.unionByName(foreign, allowMissingColumns=True)
+    got = {r.doc_id for r in corpus_pipeline.known_language(spark, both, SF).collect()}
+    assert got == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text)}
+    assert language.least_score(none) is None
+    assert 0.3 < language.least_score(docs.withColumn("lang", F.lit("x"))) < 0.5
+
+
 def test_samples_are_bounded(spark):
     ids = spark.range(5000).withColumnRenamed("id", "doc_id")
     assert hashed.sampled(ids, 10_000).count() == 5000 and 300 < hashed.sampled(ids, 500).count() <= 1000
