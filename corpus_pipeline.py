@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mysem.llm import decontaminate, dedup_exact, language, neardup, pieces
@@ -13,9 +14,34 @@ from mysem.session import written
 LEAST_LANGUAGE_SCORE = 0.1
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` less the rows whose id is in ``gone``; rows without an id stay."""
-    return docs.join(gone.select(F.col("doc_id").alias("__gone")), F.col("doc_id") == F.col("__gone"), "left_anti")
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key for each row, and the key's name, so that a decision on a row holds for that row alone, whatever its id.
+
+    The key is the row's place in its file (each file read once), the same at every pass. Rows that do not come straight from Parquet files are written first.
+    """
+    key = "_" * (1 + max(map(len, docs.columns))) + "row"
+    try:
+        places = docs.metadataColumn("_metadata")
+        placed = docs.withColumns({key: places["row_index"], f"{key}_file": places["file_path"]})
+        placed.schema  # fails here if the rows have no place
+    except AnalysisException:
+        return written(docs.withColumn(key, F.monotonically_increasing_id()), "keyed-rows"), key
+    names = [r[0] for r in placed.select(f"{key}_file").distinct().collect()]
+    numbers = docs.sparkSession.createDataFrame([(n, i << 40) for i, n in enumerate(sorted(names))], f"{key}_file string, {key}_first bigint")
+    rows = placed.join(F.broadcast(numbers), f"{key}_file")
+    return rows.select(*[rows[c] for c in docs.columns], (F.col(key) + F.col(f"{key}_first")).alias(key)), key
+
+
+def _without(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The documents of ``rows`` less those whose key is in ``gone.doc_id``."""
+    return rows.join(gone.select(F.col("doc_id").alias(key)), key, "left_anti").drop(key)
+
+
+def _all_but_one(rows: DataFrame, key: str, members: DataFrame, group: str, first: Column) -> DataFrame:
+    """The ``members`` (keys as ``doc_id``) that are not the one of their ``group`` with the least ``first``, of equal ones the least key."""
+    ids = members.join(rows.select(F.col(key).alias("doc_id"), F.col("doc_id").cast("long").alias("__id")), "doc_id")
+    kept = ids.groupBy(group).agg(F.min(F.struct(first, "doc_id")).alias("kept")).select(F.col("kept.doc_id").alias("doc_id"))
+    return members.join(kept, "doc_id", "left_anti")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,18 +60,24 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, keep the document with the largest id."""
-    return _without(docs, dedup_exact.exact_duplicates(docs).where("NOT kept"))
+    """Of equal texts, keep one row, with the largest id; without an id only if no copy has one."""
+    rows, key = _keyed(docs)
+    copies = written(dedup_exact.exact_duplicates(rows, key).where("group_size > 1"), "copies")
+    # Negative ids would overflow at the least long; its complement keeps the order.
+    return _without(rows, key, _all_but_one(rows, key, copies, "keep_id", F.struct(F.col("__id").isNull(), F.bitwise_not("__id"))))
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates, keep the document with the least id."""
-    return _without(docs, neardup.near_duplicates(docs).where("class_id <> doc_id"))
+    """Of each class of near-duplicates, keep one row, with the least id; without an id only if no other has one."""
+    rows, key = _keyed(docs)
+    alike = written(neardup.near_duplicates(rows, key).where("n_links > 0"), "alike")
+    return _without(rows, key, _all_but_one(rows, key, alike, "class_id", F.struct(F.col("__id").isNull(), F.col("__id"))))
 
 
 def free_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents with a window of a benchmark item."""
-    return _without(docs, decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0"))
+    """Drop rows with a window of a benchmark item."""
+    rows, key = _keyed(docs)
+    return _without(rows, key, decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), key).where("n_hit > 0"))
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -522,6 +522,45 @@ def test_unlearned_languages_are_dropped(spark, docs, none):
     assert 0.3 < language.least_score(docs.withColumn("lang", F.lit("x"))) < 0.5
 
 
+def test_decisions_hold_for_rows_not_ids(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    prose = lambda seed: " ".join(random.Random(seed).choices([f"w{i}" for i in range(500)], k=60))
+    near = lambda seed: prose(seed) + " end"
+    rows = [
+        # Copies: without ids, one of them with an id, identical rows, and other texts under the ids of dropped rows.
+        (None, prose(1)), (None, prose(1)), (None, prose(2)), (5, prose(2)), (6, prose(3)), (6, prose(3)),
+        (7, prose(4)), (8, prose(4)), (7, prose(5)), (-1, prose(6)), (-2, prose(6)),
+    ]
+    texts = lambda stage, rows: Counter((r.doc_id, r.text) for r in stage(spark, table(spark, [(*r, "en", "a", 1) for r in rows]), SF).collect())
+    want = Counter([(None, prose(1)), (5, prose(2)), (6, prose(3)), (8, prose(4)), (7, prose(5)), (-1, prose(6))])
+    assert texts(corpus_pipeline.one_of_each_copy, rows) == want
+    rows = [
+        (None, prose(1)), (None, near(1)), (None, prose(2)), (5, near(2)), (6, prose(3)), (6, prose(3)),
+        (8, prose(4)), (7, near(4)), (8, prose(5)),
+    ]
+    got = texts(corpus_pipeline.one_of_each_class, rows)
+    assert sum(got[None, t] for t in (prose(1), near(1))) == 1 and sum(got.values()) == 5
+    assert all(got[r] == 1 for r in [(5, near(2)), (6, prose(3)), (7, near(4)), (8, prose(5))])
+    rows = [(None, item), (1, item), (1, prose(1)), (None, prose(2))]
+    assert texts(corpus_pipeline.free_of_benchmark, rows) == Counter([(1, prose(1)), (None, prose(2))])
+
+
+def test_row_keys(spark, tmp_path, odd, none):
+    odd.unionByName(odd).repartition(5).write.parquet(f"{tmp_path}/odd")
+    stored = spark.read.parquet(f"{tmp_path}/odd")
+    for rows, n in ((odd, len(ODD)), (stored, 2 * len(ODD)), (none, 0)):
+        keyed, key = corpus_pipeline._keyed(rows)
+        assert keyed.drop(key).columns == rows.columns and keyed.count() == keyed.select(key).distinct().count() == n
+    keyed, key = corpus_pipeline._keyed(stored)
+    # Other splits of the files give the same keys.
+    first = sorted(map(str, keyed.select(key, "doc_id", "text").collect()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert first == sorted(map(str, keyed.select(key, "doc_id", "text").collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_samples_are_bounded(spark):
     ids = spark.range(5000).withColumnRenamed("id", "doc_id")
     assert hashed.sampled(ids, 10_000).count() == 5000 and 300 < hashed.sampled(ids, 500).count() <= 1000
