@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mysem.llm import decontaminate, dedup_exact, language, neardup, pieces, pii, quality, secrets, sharding, toxicity
+from mysem.llm import bytepairs, decontaminate, dedup_exact, dialogues, language, neardup, pieces, pii, quality, runs, secrets, sharding, toxicity
 from mysem.llm.registry import query, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -107,3 +107,40 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of each document."""
     return pii.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of damaged conversations and their cheapest repair."""
+    given = table(spark, sf_dir, "conversations")
+    return dialogues.of_all(dialogues.audit(dialogues.damaged(given)), given)
+
+
+def _sha(text) -> Column:
+    return F.sha2(text.cast("binary"), 256)
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of each document, some of which are made to repeat themselves."""
+    found = runs.periodic_runs(runs.with_repeats(table(spark, sf_dir, "documents")))
+    # The longest; of equal ones the first to start, then the shortest period.
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("order"), r["start"].alias("start"), r["period"].alias("period"), r["length"].alias("length"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.floor(F.expr("best.length * 1000 div best.period")).cast("long").alias("exponent_milli"),
+        _sha(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")).alias("runs_sha256"),
+        _sha(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_byte_pairs")
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of each document, decoded again."""
+    docs = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    return bytepairs.encode_texts(docs).select(
+        "doc_id", "n_tokens", _sha(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"), _sha(F.col("decoded")).alias("decoded_sha256")
+    )
