@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +25,10 @@ WINDOW = 10
 # Words between documents in the count of places: no match reaches across, whatever the slop up to MAX_SLOP.
 GAP = 64
 MAX_SLOP = 16
-# Test items are taken in blocks of about this many characters; each block is one index and one search.
+# Test items are searched in blocks of about this many characters, one at a time, in one index.
 BLOCK_CHARS = 8_000_000
+# Up to this many different words of all items (8 bytes each) they are broadcast and only their postings kept; beyond it those of all words.
+MAX_TERMS = 8_000_000
 # Candidate places looked at together.
 CANDIDATES = 1 << 20
 
@@ -77,8 +79,20 @@ def blocks(benchmark: DataFrame, size: int) -> Iterator[Block]:
         yield Block(items, size)
 
 
-def build_index(docs: DataFrame, terms: np.ndarray) -> DataFrame:
-    """Segments of ``docs`` (``doc_id, text``) with the postings of ``terms`` (sorted hashes); every document is in one segment."""
+def vocabulary(tests: DataFrame) -> np.ndarray | None:
+    """Sorted hashes of the words of all items, or null if they are more than ``MAX_TERMS``."""
+
+    def words(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.unique(tokens([t or "" for t in batch.column("text").to_pylist()])[0]).view(np.int64))], names=["term"])
+
+    found = written(T.map_runs(tests, "term bigint", words).distinct(), "terms")
+    if found.count() > MAX_TERMS:
+        return None
+    return np.sort(found.toPandas()["term"].to_numpy(np.int64).view(np.uint64))
+
+
+def build_index(docs: DataFrame, terms: np.ndarray | None) -> DataFrame:
+    """Segments of ``docs`` (``doc_id, text``) with the postings of ``terms`` (sorted hashes; null: of all words); every document is in one segment."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
     counter = {"task": None, "n": 0}
 
@@ -86,10 +100,14 @@ def build_index(docs: DataFrame, terms: np.ndarray) -> DataFrame:
         wanted = shared.value
         hashes, counts = tokens([t or "" for t in batch.column("text").to_pylist()])
         place = np.arange(len(hashes)) + np.repeat(np.arange(1, len(counts) + 1) * GAP, counts)
-        number = np.searchsorted(wanted, hashes)
-        here = np.flatnonzero(wanted[np.minimum(number, len(wanted) - 1)] == hashes) if len(wanted) else np.zeros(0, np.int64)
-        here = here[np.argsort(number[here], kind="stable")]
-        present, how_many = np.unique(number[here], return_counts=True)
+        if wanted is None:
+            here = np.arange(len(hashes))
+        elif len(wanted):
+            here = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)] == hashes)
+        else:
+            here = np.zeros(0, np.int64)
+        here = here[np.argsort(hashes[here], kind="stable")]
+        present, how_many = np.unique(hashes[here], return_counts=True)
         task = TaskContext.get()
         if counter["task"] != task.taskAttemptId():
             counter.update(task=task.taskAttemptId(), n=0)
@@ -101,7 +119,7 @@ def build_index(docs: DataFrame, terms: np.ndarray) -> DataFrame:
                 pa.array([name]),
                 lists(batch.column("doc_id").to_pylist(), pa.int64()),
                 lists(counts, pa.int32()),
-                lists(present, pa.int64()),
+                lists(present.view(np.int64), pa.int64()),
                 lists(how_many, pa.int32()),
                 lists(place[here], pa.int32()),
             ],
@@ -150,7 +168,7 @@ def intersect(windows: np.ndarray, counts: np.ndarray, first: np.ndarray, places
     return (np.concatenate(found_w), np.concatenate(found_at)) if found_w else (empty, empty)
 
 
-def search(index: DataFrame, block: Block, slop: int = 2) -> DataFrame:
+def search(index: DataFrame, block: Block | Broadcast, slop: int = 2) -> DataFrame:
     """Matches of the block's windows, one row per document.
 
     ``spans``: stretches of words inside exact matches (word numbers, end exclusive, merged). ``items``: items
@@ -158,10 +176,15 @@ def search(index: DataFrame, block: Block, slop: int = 2) -> DataFrame:
     """
     if not 0 <= slop <= MAX_SLOP:
         raise ValueError(f"slop is 0 to {MAX_SLOP}")
-    shared = index.sparkSession.sparkContext.broadcast(block)
+    shared = index.sparkSession.sparkContext.broadcast(block) if isinstance(block, Block) else block
 
     def look(name: int, doc_ids: list, n_words: np.ndarray, terms: np.ndarray, how_many: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
         block = shared.value
+        # Only the postings of the block's own words, which are sorted as the segment's are.
+        terms = terms.view(np.uint64)
+        number = np.searchsorted(block.terms, terms)
+        mine = block.terms[np.minimum(number, len(block.terms) - 1)] == terms if len(block.terms) else np.zeros(len(terms), bool)
+        places, how_many, terms = places[np.repeat(mine, how_many)], how_many[mine], number[mine]
         counts = np.zeros(len(block.terms), dtype=np.int64)
         counts[terms] = how_many
         first = np.zeros(len(block.terms), dtype=np.int64)
@@ -218,6 +241,15 @@ def search(index: DataFrame, block: Block, slop: int = 2) -> DataFrame:
     return index.mapInArrow(run, FOUND)
 
 
+def _added(found: DataFrame | None, index: DataFrame, block: Block, slop: int) -> DataFrame:
+    """``found`` and the matches of one more block, which are written so that the block can leave memory. Of later blocks only documents with a match count."""
+    shared = index.sparkSession.sparkContext.broadcast(block)
+    part = search(index, shared, slop)
+    part = written(part if found is None else part.where("size(near) > 0"), "matches")
+    shared.destroy()
+    return part if found is None else found.unionByName(part)
+
+
 def words_in(spans: Column) -> Column:
     """How many words lie in any of the spans, which may overlap."""
     start = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
@@ -241,12 +273,17 @@ def contamination(
     """
     rows = T.inputs(docs, id_col, text_col)
     tests = benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
-    parts = [search(written(build_index(rows, block.terms), "postings"), block, slop) for block in blocks(tests, window)]
-    found = parts[0]
-    if len(parts) > 1:
-        # Reads of the same files give the same segments, so a document meets itself under segment and place.
-        for part in parts[1:]:
-            found = found.unionByName(part.where("size(near) > 0"))
+    index = written(build_index(rows, vocabulary(tests)), "postings")
+    found, waiting = None, None
+    for block in blocks(tests, window):
+        if waiting is not None:
+            found = _added(found, index, waiting, slop)
+        waiting = block
+    if found is None:
+        found = search(index, waiting, slop)
+    else:
+        # The index is written, so a document meets itself under segment and place.
+        found = _added(found, index, waiting, slop)
         merged = lambda c: F.flatten(F.collect_list(c)).alias(c)
         found = found.groupBy("segment", "place").agg(F.first("doc_id", True).alias("doc_id"), F.max("n_words").alias("n_words"), merged("spans"), merged("items"), merged("near"))
     return found.select(

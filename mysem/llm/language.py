@@ -30,9 +30,8 @@ MAX_LANGUAGES = 1024
 # The cut of scores lies between what all but these shares of held-out documents reach in their own language and stay below in the others.
 TAIL = 0.001
 FOREIGN_TAIL = 0.05
-# Scores are tallied this fine, and a cut takes at least this many held-out documents.
+# Scores are tallied this fine.
 BINS = 1000
-LEAST_MEASURED = 20
 # A task passes its counts on when it has this many different n-grams.
 COUNTS_HELD = 1 << 21
 
@@ -231,7 +230,7 @@ def _own_and_other(batch: pa.RecordBatch, model: Filters) -> pa.RecordBatch:
 
 
 def least_score(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> float | None:
-    """A cut between the scores of documents of a learned language and those of other languages, or null if there are too few labelled rows to tell.
+    """A cut between the scores of documents of a learned language and those of other languages; null if no labelled row is held out.
 
     Filters learn from three quarters of the labelled texts, picked by the text so that copies stay together, and score the rest:
     each in its own language, and in the best other one, as if its own had not been learned. The cut is half way between
@@ -248,7 +247,7 @@ def least_score(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     def quantile(name: str, share: float) -> float | None:
         found = tallies.where(F.col(name).isNotNull()).groupBy(name).agg(F.sum("n").alias("n")).orderBy(name).collect()
         upto = np.cumsum([r.n for r in found])
-        if not len(upto) or upto[-1] < LEAST_MEASURED:
+        if not len(upto):
             return None
         return found[int(np.searchsorted(upto, share * upto[-1], "right").clip(0, len(found) - 1))][name] / BINS
 

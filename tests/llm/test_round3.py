@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from mysem.llm import bytepairs, dialogues, runs
+from mysem.llm import bytepairs, decontaminate, dialogues, runs
 from mysem.llm import queries as _queries  # noqa: F401
 from mysem.llm.registry import QUERIES
 from test_llm import LONG, ODD, SF, table
@@ -359,3 +359,28 @@ def test_pairs_of_odd_rows(spark, library):
     back = bytepairs.decode_ids(bytepairs.encode_texts(table(spark, ODD)))
     assert sorted(map(str, map(tuple, back.collect()))) == sorted(str((r[0], r[1])) for r in ODD)
     assert bytepairs.encode_texts(table(spark, [])).count() == 0
+
+
+# 8
+
+
+def test_blocks_agree_whatever_the_splits(spark, monkeypatch):
+    fn, _ = QUERIES["op8_decontaminate"]
+    want = sorted(map(str, fn(spark, SF).collect()))
+    sizes = [len(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", sum(sizes) // 3)
+    seen, searched = [], decontaminate.search
+
+    def search(*args):
+        # The files are split differently for each block.
+        seen.append(args)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", f"{40 * len(seen)}k")
+        return searched(*args)
+
+    monkeypatch.setattr(decontaminate, "search", search)
+    try:
+        assert sorted(map(str, fn(spark, SF).collect())) == want and len(seen) >= 3
+        monkeypatch.setattr(decontaminate, "MAX_TERMS", 0)
+        assert sorted(map(str, fn(spark, SF).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
