@@ -8,16 +8,23 @@ from pyspark.sql import functions as F
 
 from mysem.llm import decontaminate, dedup_exact, language, neardup, pieces
 from mysem.llm.registry import query, table
+from mysem.operators.numbering import number_rows
 from mysem.session import written
 
-# Less of a text's n-grams in its best language than this, and the text is rejected. Only for tables with too few labelled rows to measure a cut.
-LEAST_LANGUAGE_SCORE = 0.1
+# Up to this many rows to drop (16 bytes each) their keys are broadcast; more are joined by a shuffle.
+SMALL_DROPS = 2_000_000
+
+
+def _named(c: str) -> Column:
+    """The column ``c``, whatever characters are in its name."""
+    return F.col(f"`{c.replace('`', '``')}`")
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a key for each row, and the key's name, so that a decision on a row holds for that row alone, whatever its id.
 
-    The key is the row's place in its file (each file read once), the same at every pass. Rows that do not come straight from Parquet files are written first.
+    The key is the row's place in its file, the same at every pass, after the file's number. File names are numbered in a written table, which
+    Spark joins as its size asks for. A file must not be listed twice. Rows that do not come straight from Parquet files are written first.
     """
     key = "_" * (1 + max(map(len, docs.columns))) + "row"
     try:
@@ -26,15 +33,16 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
         placed.schema  # fails here if the rows have no place
     except AnalysisException:
         return written(docs.withColumn(key, F.monotonically_increasing_id()), "keyed-rows"), key
-    names = [r[0] for r in placed.select(f"{key}_file").distinct().collect()]
-    numbers = docs.sparkSession.createDataFrame([(n, i << 40) for i, n in enumerate(sorted(names))], f"{key}_file string, {key}_first bigint")
-    rows = placed.join(F.broadcast(numbers), f"{key}_file")
-    return rows.select(*[rows[c] for c in docs.columns], (F.col(key) + F.col(f"{key}_first")).alias(key)), key
+    names = placed.select(f"{key}_file").distinct()
+    numbers = written(number_rows(names, f"{key}_file", f"{key}_number", start=0), "files")
+    rows = placed.join(numbers, f"{key}_file")
+    return rows.select(*[_named(c) for c in docs.columns], (F.col(key) + F.shiftleft(f"{key}_number", 40)).alias(key)), key
 
 
 def _without(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
     """The documents of ``rows`` less those whose key is in ``gone.doc_id``."""
-    return rows.join(gone.select(F.col("doc_id").alias(key)), key, "left_anti").drop(key)
+    gone = written(gone.select(F.col("doc_id").alias(key)), "gone")
+    return rows.join(F.broadcast(gone) if gone.count() <= SMALL_DROPS else gone, key, "left_anti").drop(key)
 
 
 def _all_but_one(rows: DataFrame, key: str, members: DataFrame, group: str, first: Column) -> DataFrame:
@@ -47,15 +55,16 @@ def _all_but_one(rows: DataFrame, key: str, members: DataFrame, group: str, firs
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without letters and texts that resemble no language of the labelled rows; with no labelled row drop only the former.
 
-    How little resemblance is none is measured on labelled rows left out of training. The columns travel with the prediction, so nothing is shuffled.
+    How little resemblance is none is measured on labelled rows left out of training; if none are left out, texts with any resemblance stay.
+    The columns travel with the prediction, so nothing is shuffled. Null and empty texts go; rows that repeat each get their own verdict.
     """
     filters = language.train(docs)
     if not filters.languages:
         return docs.where(F.coalesce(docs["text"].rlike(r"\p{L}"), F.lit(False)))
-    cut = language.least_score(docs)
+    cut = language.least_score(docs) or 0.0
     names = [f"__{i}" for i in range(len(docs.columns))]
-    judged = language.predict(docs, filters, *[docs[c].alias(n) for c, n in zip(docs.columns, names)])
-    kept = judged.where((F.col("lang_pred") != "und") & (F.col("score") >= (LEAST_LANGUAGE_SCORE if cut is None else cut)))
+    judged = language.predict(docs, filters, *[_named(c).alias(n) for c, n in zip(docs.columns, names)])
+    kept = judged.where((F.col("lang_pred") != "und") & (F.col("score") >= cut))
     return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])
 
 
@@ -75,13 +84,19 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def free_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop rows with a window of a benchmark item."""
+    """Drop rows with a window of a benchmark item.
+
+    Null and empty texts stay, as all rows do if the benchmark has no words; rows that repeat each get their own verdict; a table without rows stays so.
+    """
     rows, key = _keyed(docs)
     return _without(rows, key, decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), key).where("n_hit > 0"))
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left, and whether decoding gives the text back."""
+    """Token ids of what is left, and whether decoding gives the text back.
+
+    Null texts have null ids, empty ones none; rows that repeat an id each get a row; a table without rows gives none.
+    """
     return pieces.encode_texts(docs)
 
 
