@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from mysem.functions.conditional import to_integral
 from mysem.operators import ordering
+from mysem.operators.components import components
 from mysem.operators.numbering import number_rows
 from mysem.session import written
+from mysem.sources.snapshots import replace_table
 
 _ROW = "__row"
 
@@ -103,13 +105,17 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: list[list[str]], o
     return target.unionByName(_first_without_conflict(fresh.select(*target.columns), keys, order))
 
 
+# Rounds over all rows before connected rows are settled together, and the most rows of a connected part that one task settles.
+ROUNDS = 2
+SETTLED = 200_000
+
+
 def _first_without_conflict(df: DataFrame, keys: list[list[str]], order) -> DataFrame:
     """Rows kept when rows arrive in order and each must differ in every key from those kept.
 
-    In each round the rows that lead all their keys are kept and the rows
-    that share a key with them are dropped; rows in between wait, because
-    the row before them may itself be dropped. Every round settles at least
-    the earliest waiting row, and all rows that lead their keys at once.
+    In each round the rows that lead all their keys are kept and the rows that share a key with them are dropped; rows in between wait, because
+    the row before them may itself be dropped. What still waits after some rounds are chains of conflicts. Their connected parts do not touch each other, so
+    each is settled by one task in the order of its rows; only the rows of a part too large for that go on in rounds.
     """
     rank = F.struct(*[i.expr for i in ordering.items(order)], F.xxhash64(*df.columns), _row(df).alias(_ROW))
     held = F.lit(0)
@@ -118,7 +124,13 @@ def _first_without_conflict(df: DataFrame, keys: list[list[str]], order) -> Data
     kept = [df.where(held == 0)]
     # Equal rows conflict with each other, so one of them stands for all.
     waiting = written(df.where(held > 0).distinct(), "waiting")
+    n_rounds = 0
     while not waiting.isEmpty():
+        if n_rounds == ROUNDS:
+            settled, waiting = _settle_parts(waiting, keys, rank)
+            kept.append(settled)
+            n_rounds += 1
+            continue
         # The first row of each key comes from an aggregate, so a key that
         # fills the table costs one row per task.
         first = [waiting.where(~_has_null(k)).groupBy(*k).agg(F.min(rank).alias("r")).select("r") for k in keys]
@@ -129,9 +141,50 @@ def _first_without_conflict(df: DataFrame, keys: list[list[str]], order) -> Data
         for k in keys:
             waiting = waiting.join(_distinct_keys(now, k), k, "left_anti")
         waiting = written(waiting.select(*df.columns), "waiting")
+        n_rounds += 1
     return reduce(DataFrame.unionByName, kept)
 
 
+def _settle_parts(waiting: DataFrame, keys: list[list[str]], rank: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows kept of all connected parts of at most ``SETTLED`` rows, and the rows of larger parts."""
+    columns, number, part, at = waiting.columns, "__number", "__part_of", "__rank"
+    rows = written(waiting.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    links = []
+    for k in keys:
+        known = rows.where(~_has_null(k))
+        first = known.groupBy(*k).agg(F.min(number).alias("__least"))
+        links.append(known.join(first, k).select(F.col(number).alias("a"), F.col("__least").alias("b")))
+    parts = written(components(reduce(DataFrame.union, links)), "parts")
+    large = written(parts.groupBy("label").agg(F.count("*").alias("n")).where(F.col("n") > SETTLED).select("label"), "large-parts")
+    rows = rows.join(parts.withColumnsRenamed({"node": number, "label": part}), number, "left").withColumn(part, F.coalesce(part, number))
+    rows = written(rows, "rows-of-parts")
+    small = rows.join(large.withColumnRenamed("label", part), part, "left_anti")
+    # A key as text, none if it has a NULL.
+    texts = [F.when(~_has_null(k), F.to_json(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(k)]))).alias(f"k{j}") for j, k in enumerate(keys)]
+    n_keys = len(keys)
+
+    def settle(batches):
+        import pandas as pd
+
+        here, used = None, [set() for _ in range(n_keys)]
+        for batch in batches:
+            out = []
+            for place, label, *values in batch.itertuples(index=False):
+                if label != here:
+                    here, used = label, [set() for _ in range(n_keys)]
+                if not any(v is not None and v in u for v, u in zip(values, used)):
+                    out.append(place)
+                    for v, u in zip(values, used):
+                        if v is not None:
+                            u.add(v)
+            yield pd.DataFrame({number: pd.Series(out, dtype="int64")})
+
+    thin = small.select(number, part, *texts, rank.alias(at)).repartition(part).sortWithinPartitions(part, at).drop(at)
+    chosen = written(thin.mapInPandas(settle, f"{number} bigint"), "settled")
+    settled = rows.join(chosen, number, "left_semi").select(*columns)
+    return settled, written(rows.join(large.withColumnRenamed("label", part), part, "left_semi").select(*columns), "waiting")
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -274,8 +327,8 @@ def insert_select(target: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def truncate_reload(df: DataFrame, path: str) -> DataFrame:
-    """``TRUNCATE`` and load: ``df`` becomes the whole content of the parquet table at ``path``."""
-    df.write.mode("overwrite").parquet(path)
+    """``TRUNCATE`` and load: ``df``, which may read the table, becomes the whole content of the parquet table at ``path``."""
+    replace_table(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,16 +7,16 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mysem.operators import mutate
-from mysem.session import new_path
+from mysem.session import new_path, written
 from mysem.sources.dump_read import load_dump, read_dump
 from mysem.sources.dump_write import export_inserts, export_schema
-from mysem.sources.types import apply_mysql_schema
+from mysem.sources.snapshots import read_table, recover, replace_table, row_count
+from mysem.sources.types import split_by_schema
 
 
 def _union(dfs: list[DataFrame]) -> DataFrame:
@@ -69,6 +69,45 @@ def validate_checksums(source: dict[str, DataFrame], target: dict[str, DataFrame
     return s.join(t, "table_name", "full").withColumn("match", same)
 
 
+def table_diff(source: DataFrame, target: DataFrame, keys: list[str], buckets: int = 4096) -> DataFrame:
+    """Where two tables differ: the ``keys``, ``difference`` (missing, extra or changed) and ``changed_columns``.
+
+    Rows are summed up by a hash of their key into ``buckets`` first, so equal tables cost a scan each; only rows of buckets that differ are compared
+    by key. Rows may repeat a key: then the rows of a key are compared as a whole, and the columns named are those whose values differ, in any order.
+    NULL is a key like any other.
+    """
+    if sorted(source.columns) != sorted(target.columns):
+        raise ValueError("the tables have other columns")
+    others = [c for c in source.columns if c not in keys]
+    wide = lambda c: F.sum(c.cast("decimal(38,0)"))
+    # Hashes skip NULLs, so that a value is one is hashed as well.
+    value = {c: F.xxhash64(F.lit(c), F.col(f"`{c}`"), F.col(f"`{c}`").isNull()) for c in source.columns}
+    bucket = F.pmod(F.xxhash64(*[value[k] for k in keys]), F.lit(buckets)).alias("__bucket")
+
+    def summed(df: DataFrame, side: str) -> DataFrame:
+        row = F.xxhash64(*[value[c] for c in sorted(source.columns)])
+        return df.groupBy(bucket).agg(F.struct(F.count(F.lit(1)).alias("n"), wide(row).alias("sum")).alias(side))
+
+    apart = summed(source, "s").join(summed(target, "t"), "__bucket", "full").where(~F.col("s").eqNullSafe(F.col("t"))).select("__bucket")
+    apart = written(apart, "buckets")
+
+    def by_key(df: DataFrame, side: str) -> DataFrame:
+        # At most ``buckets`` numbers.
+        rows = df.withColumn("__bucket", bucket).join(F.broadcast(apart), "__bucket", "left_semi")
+        row = F.xxhash64(*[value[c] for c in sorted(source.columns)])
+        whole = F.struct(F.count(F.lit(1)).alias("n"), wide(row).alias("sum"), *[wide(value[c]).alias(f"c{i}") for i, c in enumerate(others)])
+        named = [F.col(f"`{k}`").alias(f"{side}{i}") for i, k in enumerate(keys)]
+        return rows.groupBy(*named).agg(whole.alias(side))
+
+    same = reduce(Column.__and__, [F.col(f"s{i}").eqNullSafe(F.col(f"t{i}")) for i in range(len(keys))])
+    both = by_key(source, "s").join(by_key(target, "t"), same, "full")
+    kind = F.when(F.col("t").isNull(), "missing").when(F.col("s").isNull(), "extra").otherwise("changed")
+    changed = F.array_compact(F.array(*[F.when(F.col(f"s.c{i}") != F.col(f"t.c{i}"), F.lit(c)) for i, c in enumerate(others)], F.lit(None).cast("string")))
+    shown = [F.when(F.col("s").isNotNull(), F.col(f"s{i}")).otherwise(F.col(f"t{i}")).alias(k) for i, k in enumerate(keys)]
+    found = both.where(~F.col("s").eqNullSafe(F.col("t")))
+    return found.select(*shown, kind.alias("difference"), F.when(kind == "changed", changed).otherwise(F.array().cast("array<string>")).alias("changed_columns"))
+
+
 def fk_orphans(child: DataFrame, fk: list[str], parent: DataFrame, pk: list[str]) -> DataFrame:
     """Foreign key values without a parent row, and how many child rows hold them.
 
@@ -162,11 +201,16 @@ def migrate_tables(
     ``source`` is a dump path or a dict of DataFrames. A dump needs, per
     table, a Spark schema or MySQL declarations. ``mode`` is ``truncate``
     (replace the table), ``append``, ``ignore`` or ``replace``; the last two
-    apply the rows by ``keys`` to the table and write ``target/<table>.new``.
-    With ``force`` a failing table is reported and the others go on.
+    apply the rows by ``keys`` to the table. Tables are swapped as a whole, so a
+    run that fails leaves the old one. Rows with a value that does not fit its
+    declaration go, as texts with the names of the failing columns, to
+    ``target/_rejects/<table>``, which is replaced each time. A dump's rows are
+    parsed once. With ``force`` a failing table is reported and the others go on.
 
     Returns ``table_name, source_rows, target_rows, rejected_rows, match, error``.
     """
+    if mode not in ("truncate", "append", "ignore", "replace"):
+        raise ValueError(f"no mode {mode}")
     schemas, declared, keys = schemas or {}, declared or {}, keys or {}
     if isinstance(source, dict):
         names = list(source)
@@ -176,8 +220,8 @@ def migrate_tables(
 
     def load(n: str) -> tuple:
         try:
-            rows, rejected = _source_rows(spark, source, n, schemas, declared)
-            return (n, *_load_one(rows, rejected, f"{target}/{n}", mode, keys.get(n), validate), None)
+            rows, counts = _source_rows(spark, source, n, schemas, declared, f"{target}/_rejects/{n}")
+            return (n, *_load_one(rows, counts, f"{target}/{n}", mode, keys.get(n), validate), None)
         except Exception as e:
             if not force:
                 raise
@@ -190,41 +234,50 @@ def migrate_tables(
     )
 
 
-def _source_rows(spark, source, name: str, schemas, declared) -> tuple[DataFrame, int]:
+def _count() -> Column:
+    return F.count(F.lit(1)).alias("n")
+
+
+def _source_rows(spark, source, name: str, schemas, declared, rejects_path: str) -> tuple[DataFrame, dict | None]:
+    """The rows to load, and if they were counted as they were written, how many there are and how many were rejected."""
     if isinstance(source, dict):
-        return source[name], 0
+        return source[name], None
     if name not in declared:
-        return load_dump(spark, None, name, schemas[name], statements=source), 0
+        return load_dump(spark, None, name, schemas[name], statements=source), None
     text = T.StructType([T.StructField(c, T.StringType()) for c in declared[name]])
-    good, rejects = apply_mysql_schema(load_dump(spark, None, name, text, statements=source), declared[name])
-    return good, rejects.count()
-
-
-def _load_one(rows: DataFrame, rejected: int, path: str, mode: str, keys: list[str] | None, validate: bool):
+    # Accepted and rejected rows are written in one pass, a folder each.
+    split = split_by_schema(load_dump(spark, None, name, text, statements=source), declared[name])
+    seen, path = Observation(), new_path(spark, "typed")
+    bad = F.size("rejected_columns") > 0
+    split.observe(seen, _count(), F.count_if(bad).alias("rejected")).withColumn("bad", bad).write.partitionBy("bad").parquet(path)
+    both = spark.read.schema(T.StructType([*split.schema.fields, T.StructField("bad", T.BooleanType())])).parquet(path)
+    counts = seen.get
+    replace_table(both.where("bad").select("given.*", "rejected_columns"), rejects_path)
+    return both.where("not bad").select("typed.*"), {"n": counts["n"] - counts["rejected"], "rejected": counts["rejected"]}
+
+
+def _load_one(rows: DataFrame, counts: dict | None, path: str, mode: str, keys: list[str] | None, validate: bool):
     spark = rows.sparkSession
-    if mode in ("truncate", "append"):
-        expected = 0 if mode == "truncate" else _rows_at(spark, path)
-        seen = Observation()
-        counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
-        counted.write.mode("overwrite" if mode == "truncate" else "append").parquet(path)
+    rejected = counts["rejected"] if counts else 0
+    if mode == "truncate":
+        source_rows = expected = replace_table(rows, path, _count())["n"]
+    elif mode == "append":
+        recover(spark, path)
+        expected, seen = row_count(spark, path), Observation()
+        rows.observe(seen, _count()).write.mode("append").parquet(path)
         source_rows = seen.get["n"]
         expected += source_rows
     else:
-        old = spark.read.schema(rows.schema).parquet(path)
+        # Several branches of the plan read the rows, so they are written and counted first.
+        if counts is None:
+            seen, staged = Observation(), new_path(spark, "rows")
+            rows.observe(seen, _count()).write.parquet(staged)
+            rows, counts = spark.read.schema(rows.schema).parquet(staged), seen.get
+        source_rows = counts["n"]
+        old = read_table(spark, path, rows.schema)
         new = mutate.insert_ignore(old, rows, [keys]) if mode == "ignore" else mutate.replace_into(old, rows, keys)
-        source_rows, expected = rows.count(), new.count() if validate else None
-        path = f"{path}.new"
-        new.write.parquet(path)
+        expected = replace_table(new, path, _count())["n"]
     if not validate:
         return source_rows, None, rejected, None
-    after = _rows_at(spark, path)
+    after = row_count(spark, path)
     return source_rows, after, rejected, after == expected and rejected == 0
-
-
-def _rows_at(spark: SparkSession, path: str) -> int:
-    try:
-        return spark.read.parquet(path).count()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return 0
-        raise

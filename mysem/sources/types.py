@@ -148,27 +148,35 @@ def typed(text: Column, to: T.DataType, strict: bool = True) -> Column:
     return cast(text)
 
 
-def apply_mysql_schema(
-    df: DataFrame, declared: dict[str, str], defaults: dict[str, str] | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Cast the text columns of ``df`` to their MySQL declarations.
-
-    Returns the typed rows, and the rows with a value that does not fit,
-    unchanged and with the names of the failing columns. ``defaults`` are
-    texts that stand in for NULL.
+def split_by_schema(df: DataFrame, declared: dict[str, str], defaults: dict[str, str] | None = None) -> DataFrame:
+    """``typed``, the text columns of ``df`` cast to their MySQL declarations, ``given``, the rows as they are if a value does not fit, and
+    ``rejected_columns``, the names of the failing columns. ``defaults`` are texts that stand in for NULL.
     """
     schema = schema_of(declared)
     defaults = defaults or {}
-    values, failing = {}, []
+    values, failing = [], []
     for f in schema.fields:
         raw = F.col(f"`{f.name}`").cast("string")
         if f.name in defaults:
             raw = F.coalesce(raw, F.lit(defaults[f.name]))
         value = typed(raw, f.dataType, strict=False)
-        values[f.name] = value
+        values.append(value.alias(f.name))
         wanted = zero_date_to_null(raw) if isinstance(f.dataType, (T.DateType, T.TimestampNTZType)) else raw
         failing.append(F.when(wanted.isNotNull() & value.isNull(), F.lit(f.name)))
     bad = F.array_compact(F.array(*failing))
-    good = df.where(F.size(bad) == 0).select(*[v.alias(c) for c, v in values.items()])
-    rejects = df.withColumn("rejected_columns", bad).where(F.size("rejected_columns") > 0)
-    return good, rejects
+    given = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(F.struct(*values).alias("typed"), F.when(F.size(bad) > 0, given).alias("given"), bad.alias("rejected_columns"))
+
+
+def apply_mysql_schema(
+    df: DataFrame, declared: dict[str, str], defaults: dict[str, str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Cast the text columns of ``df`` to their MySQL declarations.
+
+    Returns the typed rows, and the rows with a value that does not fit,
+    unchanged and with the names of the failing columns. ``defaults`` are
+    texts that stand in for NULL.
+    """
+    split = split_by_schema(df, declared, defaults)
+    good = split.where(F.size("rejected_columns") == 0).select("typed.*")
+    return good, split.where(F.size("rejected_columns") > 0).select("given.*", "rejected_columns")

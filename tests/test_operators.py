@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mysem.operators import grouping, mutate, numbering, ordering, relational
+from mysem.operators.components import components
 from mysem.plans import jobs, profile
 
 
@@ -173,6 +174,45 @@ def test_insert_ignore_several_keys(spark, seed):
     assert rows(got) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("settled", [200_000, 3])
+def test_insert_ignore_chains(spark, monkeypatch, settled):
+    # a1 and b1 share one key, b1 and a2 the other, and so on; and short chains, single rows and rows without a key.
+    n = 3000 if settled > 3 else 40
+    new = [((i + 1) // 2, i // 2, i) for i in range(n)]
+    rng = random.Random(7)
+    new += [(rng.choice([None, *range(10_000, 10_300)]), rng.choice([None, *range(20_000, 20_300)]), n + i) for i in range(500)]
+    want = _insert_ignore_one_by_one([], new, [(0,), (1,)])
+    monkeypatch.setattr(mutate, "SETTLED", settled)
+    tables, write = [], mutate.written
+    monkeypatch.setattr(mutate, "written", lambda df, name: tables.append(name) or write(df, name))
+    source = spark.createDataFrame(new, "a int, b int, q int")
+    got = mutate.insert_ignore(source.limit(0), source.repartition(4), [["a"], ["b"]], order="q")
+    assert rows(got) == sorted(want, key=str)
+    if settled > 3:
+        # One row a round would take 1,500 rounds.
+        assert len(tables) < 12
+
+
+def test_components(spark):
+    rng = random.Random(9)
+    edges = [(i, i + 1) for i in range(700)] + [(5000, 5000 + i) for i in range(300)] + [(9, 9)] + [(rng.randrange(8000, 9000), rng.randrange(8000, 9000)) for _ in range(400)]
+    rng.shuffle(edges)
+    label = {x: x for e in edges for x in e}
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((root(a), root(b)))
+        label[b] = a
+    want = {x: root(x) for e in edges if e[0] != e[1] for x in e}
+    got = components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    assert len(got) == len(want) and {r.node: r.label for r in got} == want
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
 def test_insert_ignore_hot_key(spark, target):
     source = spark.range(5000).selectExpr("cast(7 as int) as k", "cast(id as string) as s", "cast(id as int) as q")
     got = mutate.insert_ignore(target, source, [["k"], ["s"]], order="q")
@@ -282,9 +322,11 @@ def test_migrate_force_and_modes(spark, tmp_path):
     more = spark.createDataFrame([(2, "B"), (3, "c")], "k int, s string")
     report = jobs.migrate_tables(spark, {"t": more}, base, mode="replace", keys={"t": ["k"]}).first()
     assert (report.source_rows, report.target_rows, report.match) == (2, 3, True)
-    assert rows(spark.read.parquet(f"{base}/t.new")) == [(1, "a"), (2, "B"), (3, "c")]
+    assert rows(spark.read.parquet(f"{base}/t")) == [(1, "a"), (2, "B"), (3, "c")]
+    first = jobs.migrate_tables(spark, {"new": more}, base, mode="ignore", keys={"new": ["k"]}).first()
+    assert (first.source_rows, first.target_rows, first.match) == (2, 2, True)
     report = jobs.migrate_tables(spark, {"t": more}, base, mode="append").first()
-    assert (report.source_rows, report.target_rows, report.match) == (2, 4, True)
+    assert (report.source_rows, report.target_rows, report.match) == (2, 5, True)
     broken = more.withColumn("k", F.raise_error(F.lit("damaged")).cast("int"))
     report = jobs.migrate_tables(spark, {"bad": broken, "t": more}, base, force=True)
     got = {r.table_name: (r.match, r.error is None) for r in report.collect()}
