@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from mysem.operators import mutate
 from mysem.operators.relational import order_by
 from mysem.plans import jobs, profile
 from mysem.plans.registry import query
@@ -25,6 +26,15 @@ def _(t):
     return tables.load_data(t.spark, path, t.customer.schema)
 
 
+@query("load_csv_line_feeds", """select doc_id, text || chr(10) || '"' || chr(10) || coalesce(lang, '') as text, source from documents""")
+def _(t):
+    text = F.concat("text", F.lit('\n"\n'), F.coalesce("lang", F.lit("")))
+    docs = t.documents.select("doc_id", text.alias("text"), "source")
+    path = new_path(t.spark, "documents-csv")
+    docs.write.options(header=True, quote='"', escape='"').csv(path)
+    return tables.load_data(t.spark, path, docs.schema, multi_line=True)
+
+
 @query(
     "write_batch_tsv",
     "select c_custkey, c_name, nullif(c_mktsegment, 'BUILDING') as seg, c_acctbal from customer",
@@ -132,6 +142,25 @@ def _(t):
     return dump_read.load_dump(t.spark, _dump(t, ["lineitem"]), "lineitem", t.lineitem.schema)
 
 
+_RAW = r"""case l_linenumber % 4 when 0 then l_linestatus || ';' || chr(10) || 'it''s' when 1 then l_linestatus || chr(10) || '-- "' || l_returnflag
+      when 2 then '/* ' || l_linestatus || ';' || chr(10) when 3 then chr(10) || 'DELIMITER //' || chr(10) || l_linestatus || chr(92) end"""
+
+
+@query("load_dump_raw_newlines", f"select l_orderkey, l_linenumber, {_RAW} as note from lineitem")
+def _(t):
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.expr(_RAW).alias("note"))
+    # Written raw: only quotes and backslashes are escaped, so statements hold ; + line feed in quotes, comments and routines.
+    literal = F.concat(F.lit("'"), F.replace(F.replace("note", F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("''")), F.lit("'"))
+    kind = F.col("l_orderkey") % 5
+    before = F.when(kind == 0, "/* it's;\n \"old */ ").when(kind == 1, "-- it's;\n").when(
+        kind == 2, "DELIMITER //\nCREATE PROCEDURE p() BEGIN SELECT 'a;\n'; SELECT 2;\nEND//\nDELIMITER ;\n"
+    )
+    insert = F.concat(F.coalesce(before, F.lit("")), F.lit("INSERT INTO `notes` VALUES ("), F.concat_ws(",", "l_orderkey", "l_linenumber", literal), F.lit(");"))
+    path = new_path(t.spark, "notes-dump")
+    rows.select(insert.alias("value")).write.text(path)
+    return dump_read.load_dump(t.spark, path, "notes", rows.schema)
+
+
 @query("load_dump_events", "select * from events")
 def _(t):
     path = _dump(t, ["events"], mode="replace", compression="gzip")
@@ -183,6 +212,54 @@ def _(t):
     return report.drop("error")
 
 
+@query(
+    "migrate_rejects",
+    """select cast(o_orderkey as varchar) as o_orderkey, cast(o_custkey as varchar) as o_custkey, 'n/a' as o_totalprice, 'o_totalprice' as failing,
+      (select count(*) from orders where o_orderstatus <> 'P') as kept, (select count(*) from orders where o_orderstatus = 'P') as rejected
+    from orders where o_orderstatus = 'P'""",
+)
+def _(t):
+    path, target = new_path(t.spark, "orders-text"), new_path(t.spark, "migrated")
+    dump_write.export_inserts(_orders_as_text(t), path, "orders")
+    report = jobs.migrate_tables(t.spark, path, target, declared={"orders": _ORDERS_AS_MYSQL})
+    rejects = t.spark.read.parquet(f"{target}/_rejects/orders").select("o_orderkey", "o_custkey", "o_totalprice", F.array_join("rejected_columns", ",").alias("failing"))
+    # The report is one row.
+    counts = report.first()
+    return rejects.select("*", F.lit(counts.target_rows).alias("kept"), F.lit(counts.rejected_rows).alias("rejected"))
+
+
+@query(
+    "replace_snapshot",
+    """select o_orderkey, o_orderstatus, case when o_orderstatus = 'F' then o_totalprice * 2 else o_totalprice end as o_totalprice from orders""",
+)
+def _(t):
+    path = new_path(t.spark, "orders")
+    orders = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    mutate.truncate_reload(orders, path)
+    read = t.spark.read.schema(orders.schema).parquet(path)
+    # The table is read and replaced in one call.
+    doubled = F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice") * 2).otherwise(F.col("o_totalprice"))
+    return mutate.truncate_reload(read.withColumn("o_totalprice", doubled), path)
+
+
+@query(
+    "table_diff",
+    """select o_orderkey, case when o_orderkey % 50 = 7 then 'missing' else 'changed' end as difference,
+      case when o_orderkey % 50 = 7 then '' when o_orderkey % 70 = 3 then 'o_orderstatus,o_totalprice' else 'o_totalprice' end as columns
+    from orders where o_orderkey % 50 = 7 or o_orderkey % 70 in (3, 4)
+    union all select -1 - c_custkey, 'extra', '' from customer where c_custkey % 100 = 5""",
+)
+def _(t):
+    orders = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    part = F.col("o_orderkey") % 70
+    target = orders.where("o_orderkey % 50 <> 7").withColumns(
+        {"o_totalprice": F.when(part.isin(3, 4), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")), "o_orderstatus": F.when(part == 3, "?").otherwise(F.col("o_orderstatus"))}
+    )
+    extra = t.customer.where("c_custkey % 100 = 5").select((-1 - F.col("c_custkey")).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), F.lit(0.0).alias("o_totalprice"))
+    found = jobs.table_diff(orders, target.unionByName(extra), ["o_orderkey"])
+    return found.select("o_orderkey", "difference", F.array_join("changed_columns", ",").alias("columns"))
+
+
 @query(
     "row_counts",
     """with c as (select 'nation' as table_name, count(*) as n_rows from nation union all select 'events', count(*) from events

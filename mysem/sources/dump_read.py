@@ -1,8 +1,10 @@
 """SQL dumps as DataFrames of statements and of rows.
 
 A dump is split at ``;`` + line feed by the text source itself, so one large
-file is read by many tasks. Statements on one line and quotes, comments and
-``DELIMITER`` sections are then resolved with expressions.
+file is read by many tasks. Statements on one line, quotes and comments are
+then resolved with expressions. Files in which that would cut a literal or a
+comment, or which have ``DELIMITER`` lines, are cut by a lexer whose states
+are composed over the tasks (:mod:`mysem.sources.dump_lex`).
 
 Patterns use possessive quantifiers throughout: a plain repeated alternation
 recurses once per character and overflows the stack on a long literal.
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mysem.functions.strings import unescape_string
+from mysem.session import written
+from mysem.sources.dump_lex import whole_statements
 from mysem.sources.types import HEX_STARTS, typed
 
 _SINGLE = r"'[^'\\]*+(?:(?:\\.|'')[^'\\]*+)*+'"
@@ -28,8 +32,6 @@ _COMMENTS = rf"(?s)({_STRING})|/\*!\d*\s*((?:[^*]++|\*(?!/))*+)\*/|/\*(?:[^*]++|
 _BALANCED = rf"(?s)^(?:[^'\"`/]++|/(?!\*)|{_STRING})*+$"
 _STATEMENT = rf"(?s)((?:[^;'\"`]++|{_STRING})++)"
 _MARKER = r"(?i)(?:^|\n)DELIMITER[ \t]"
-_SECTION_PART = r"(?is)(?:^|\n)DELIMITER[ \t]+(\S+)[^\n]*+((?:(?!\nDELIMITER[ \t]).)*+)"
-
 # How a statement begins -> its category.
 CATEGORIES = (
     ("schema", ("CREATE TABLE", "CREATE INDEX", "CREATE UNIQUE INDEX", "CREATE TYPE", "ALTER TABLE", "DROP TABLE",
@@ -57,10 +59,6 @@ _BLANKS = " \t\r\n"
 
 PLACE = ["file", "block", "seq"]
 
-# Up to this many DELIMITER lines (some 50 bytes each) their places are broadcast.
-SMALL_MARKS = 200_000
-
-
 def strip_comments(c: Column) -> Column:
     """Drop comments outside quotes and unwrap ``/*!NNNNN ... */``."""
     stripped = F.regexp_replace(c, _COMMENTS, "$1$2")
@@ -95,6 +93,14 @@ def _records(spark: SparkSession, path, line_sep: str, whole_files: bool) -> Dat
     )
 
 
+def _broken(body: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("a quoted text or comment does not end where its statement does: "), F.substring(body, 1, 80)))
+
+
+def _checked(body: Column) -> Column:
+    return F.when(F.regexp_like(body, F.lit(_BALANCED)), body).otherwise(_broken(body))
+
+
 def _explode_statements(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """``keep``, part and body of each statement of ``text``, which holds no DELIMITER line."""
     df = df.select(*keep, strip_comments(F.col(text)).alias("__text"))
@@ -103,13 +109,7 @@ def _explode_statements(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     parts = F.when(F.contains(body, F.lit(";")), F.regexp_extract_all(body, F.lit(_STATEMENT), F.lit(1))).otherwise(
         F.array(body)
     )
-    broken = F.raise_error(
-        F.concat(
-            F.lit("a quoted text or comment is cut at the end of a statement, read this dump with whole_files=True: "),
-            F.substring(body, 1, 80),
-        )
-    )
-    whole = F.when(F.regexp_like(body, F.lit(_BALANCED)), parts).otherwise(broken)
+    whole = F.when(F.regexp_like(body, F.lit(_BALANCED)), parts).otherwise(_broken(body))
     # Trimmed here, where each body is made once; filters repeat what follows.
     bodies = F.transform(whole, lambda b: F.trim(b, F.lit(_BLANKS)))
     return df.select(*keep, F.posexplode(bodies).alias("part", "body"))
@@ -125,83 +125,35 @@ def read_dump(
     """The statements of a dump: file, block, seq, part, category, table, body.
 
     ``file, block, seq, part`` order the statements of a file. Compressed files
-    are read whole by one task each. ``whole_files`` reads every file in one
-    task, for dumps with a raw ``;`` + line feed inside a literal.
-    ``delimiters=False`` saves a pass over dumps known to hold no routines.
+    are read whole by one task each; ``whole_files`` does so for all files.
+    ``delimiters=False`` saves a pass over dumps known to hold no routines and
+    no ``;`` + line feed inside quotes or comments; such a cut is an error then.
     """
     records = _records(spark, path, line_sep, whole_files)
-    sections = _sections(records) if delimiters else None
-    if sections is None:
+    # A file is some bytes here, however large it is.
+    odd = written(_odd_files(records), "odd-files") if delimiters else None
+    if odd is None or odd.isEmpty():
         plain = _explode_statements(records, "value", PLACE)
     else:
-        inside = records.join(sections, "file", "left").withColumn(
-            "section",
-            F.filter("ranges", lambda r: (r["lo"] <= F.struct("block", "seq")) & (F.struct("block", "seq") <= r["hi"])),
-        )
-        outside = inside.where(F.coalesce(F.size("section"), F.lit(0)) <= 0)
-        plain = _explode_statements(outside, "value", PLACE)
-        plain = plain.unionByName(_routine_statements(inside.where(F.size("section") > 0), line_sep))
+        lexed = whole_statements(records.join(odd, "file", "left_semi"), line_sep)
+        plain = _explode_statements(records.join(odd, "file", "left_anti"), "value", PLACE)
+        plain = plain.unionByName(lexed.select(*PLACE, "part", F.trim(_checked(strip_comments(F.col("text"))), F.lit(_BLANKS)).alias("body")))
     body = F.col("body")
-    return plain.where(body != "").select(
+    return plain.where(F.trim(body, F.lit(_BLANKS + ";")) != "").select(
         *PLACE, "part", category_of(body).alias("category"), table_of(body).alias("table"), "body"
     )
 
 
-def _sections(records: DataFrame) -> DataFrame | None:
-    """Per file, the ranges of records that belong to DELIMITER sections; None without any.
+def _odd_files(records: DataFrame) -> DataFrame:
+    """Files with a DELIMITER line, or with a record that ends inside quotes or a comment.
 
-    One entry per routine or trigger of a schema, so the result is small; it is
-    broadcast only when it has been found to be.
+    In all other files each record begins, as the first does, outside of both.
     """
-    found = records.where(F.contains(F.upper("value"), F.lit("DELIMITER")) & F.regexp_like("value", F.lit(_MARKER)))
-    # A DELIMITER line inside a quoted text is no mark.
-    text = F.regexp_replace(strip_comments(F.concat(F.col("value"), F.lit(";"))), f"(?s){_STRING}", "")
-    marks = found.select(
-        "file",
-        F.struct("block", "seq").alias("at"),
-        F.try_element_at(F.regexp_extract_all(text, F.lit(_SECTION_PART), F.lit(1)), F.lit(-1)).alias("last"),
-    )
-    marks = marks.where("last is not null").select("file", F.struct("at", (F.col("last") != ";").alias("opens")).alias("m"))
-    n = marks.count()
-    if n == 0:
-        return None
-    files = marks.groupBy("file").agg(F.array_sort(F.collect_list("m")).alias("ms"))
-    begins = F.filter("ms", lambda m, i: (i == 0) | ~F.get("ms", i - 1)["opens"])
-    ends = F.filter("ms", lambda m: ~m["opens"])
-    far = F.struct(F.lit((1 << 63) - 1).alias("block"), F.lit((1 << 63) - 1).alias("seq"))
-    ranges = F.transform(
-        begins,
-        lambda b, i: F.struct(b["at"].alias("lo"), F.coalesce(F.get(ends, i)["at"], far).alias("hi")),
-    )
-    places = files.select("file", ranges.alias("ranges"))
-    return F.broadcast(places) if n <= SMALL_MARKS else places
-
-
-def _routine_statements(records: DataFrame, line_sep: str) -> DataFrame:
-    """Join the records of each section again and split it by its own delimiters."""
-    whole = (
-        records.select("file", F.col("section")[0]["lo"].alias("lo"), F.struct("block", "seq", "value").alias("r"))
-        .groupBy("file", "lo")
-        .agg(F.array_sort(F.collect_list("r")).alias("rs"))
-    )
-    text = F.concat(F.array_join(F.transform("rs", lambda r: r["value"]), line_sep), F.lit(";"))
-    whole = whole.select("file", F.col("lo.block").alias("block"), F.col("lo.seq").alias("seq"), text.alias("text"))
-    before = F.regexp_extract("text", r"(?is)^((?:(?!(?:^|\n)DELIMITER[ \t]).)*+)", 1)
-    names = F.regexp_extract_all("text", F.lit(_SECTION_PART), F.lit(1))
-    bodies = F.regexp_extract_all("text", F.lit(_SECTION_PART), F.lit(2))
-    pieces = F.concat(
-        F.array(F.struct(F.lit(";").alias("mark"), before.alias("body"))),
-        F.arrays_zip(names.alias("mark"), bodies.alias("body")),
-    )
-    pieces = whole.select("file", "block", "seq", F.posexplode(pieces).alias("p", "piece"))
-    pieces = pieces.select("file", "block", "seq", "p", "piece.*")
-    standard = _explode_statements(pieces.where("mark = ';'"), "body", ["file", "block", "seq", "p"])
-    own = F.split(strip_comments(F.col("body")), F.concat(F.lit("\\Q"), F.col("mark"), F.lit("\\E")))
-    custom = pieces.where("mark <> ';'").select("file", "block", "seq", "p", F.posexplode(own).alias("part", "body"))
-    custom = custom.withColumn("body", F.trim("body", F.lit(_BLANKS)))
-    # Statements of one piece follow those of the piece before.
-    part = (F.col("p") * 1_000_000 + F.col("part")).cast("int").alias("part")
-    return standard.unionByName(custom).select("file", "block", "seq", part, "body")
+    value = F.col("value")
+    named = F.contains(F.upper(value), F.lit("DELIMITER")) & F.regexp_like(value, F.lit(_MARKER))
+    in_comment = F.contains(value, F.lit("--")) & F.regexp_like(value, F.lit(r"--[^\n]*\z"))
+    is_open = ~F.regexp_like(strip_comments(value), F.lit(_BALANCED))
+    return records.where(named | in_comment | is_open).select("file").distinct()
 
 
 def select_tables(

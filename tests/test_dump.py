@@ -1,6 +1,7 @@
 import datetime as dt
 import gzip
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -12,6 +13,7 @@ from mysem.plans import jobs
 from mysem.sources import dump_read as R
 from mysem.sources import dump_write as W
 from mysem.sources import tables
+from mysem.sources.dump_lex import whole_statements
 
 
 @pytest.fixture
@@ -172,11 +174,77 @@ def test_delimiter_word_in_a_text(dump):
     assert [c for c, *_ in dump(text)] == ["data", "data"]
 
 
-def test_cut_comment_is_an_error(dump):
+def test_cut_comment(dump):
     text = "/* old;\nrows */ INSERT INTO t VALUES (1);\n"
-    with pytest.raises(Exception, match="whole_files=True"):
-        dump(text)
-    assert dump(text, whole_files=True) == [("data", "t", "INSERT INTO t VALUES (1)")]
+    with pytest.raises(Exception, match="does not end"):
+        dump(text, delimiters=False)
+    assert dump(text) == dump(text, whole_files=True) == [("data", "t", "INSERT INTO t VALUES (1)")]
+    text = "SELECT 1;\n-- old;\nINSERT INTO t -- new;\nVALUES (1);\n"
+    assert [b for *_, b in dump(text)] == ["SELECT 1", "INSERT INTO t VALUES (1)"]
+
+
+def _plain_split(text):
+    """Statements, one character at a time; comments stay as they are."""
+    out, now, i, quote, delimiter = [], "", 0, "", ";"
+    while i < len(text):
+        c, two = text[i], text[i : i + 2]
+        if quote == "*":
+            n = 2 if two == "*/" else 1
+            quote = "" if n == 2 else quote
+        elif quote:
+            n = 2 if (c == "\\" and quote != "`") or (two == 2 * quote and quote != "`") else 1
+            quote = "" if n == 1 and c == quote else quote
+        elif (i == 0 or text[i - 1] == "\n") and (named := re.compile(r"(?i)DELIMITER[ \t]+(\S+)[^\n]*\n?").match(text, i)):
+            delimiter, i = named[1], named.end()
+            continue
+        elif text.startswith(delimiter, i):
+            out.append(now)
+            now, i = "", i + len(delimiter)
+            continue
+        elif two == "--":
+            n = (text + "\n").index("\n", i) - i
+        else:
+            quote, n = ("*", 2) if two == "/*" else (c if c in "'\"`" else "", 1)
+        now += text[i : i + n]
+        i += n
+    return [s.strip(" \t\r\n") for s in [*out, now] if s.strip(" \t\r\n;")]
+
+
+def _random_dump(rng):
+    inside = ["a;\nb", ";\n", "\n", "x", "''", "\\'", "\\\\", '"', "`", "--", "/*", "*/", "\nDELIMITER //\n", " ", "é", "//", "$$"]
+    literal = lambda: "'" + "".join(rng.choices(inside, k=rng.randrange(6))) + "'"
+    comment = lambda: "/* " + rng.choice([";\n", "it's", '"', "x", "\n\n"]) + " */"
+    other = lambda: rng.choice([" ", "\n", "y", "1", "-", "/", '"a;\n\'b"', "`c;\nd`", "-- e;\n", "-- f'\n", comment()])
+    out, delimiter = "", ";"
+    for _ in range(rng.randrange(1, 25)):
+        if rng.random() < 0.1:
+            delimiter = rng.choice([";;", "//", "$$", ";"])
+            out += f"\nDELIMITER {delimiter}\n"
+        body = "S" + "".join(rng.choice([literal, other])() for _ in range(rng.randrange(8)))
+        # A slash before a star would begin a comment.
+        out += body.replace("//*", "/ /*") + " " + delimiter + rng.choice(["\n", "\n", " ", ""])
+    return out
+
+
+def test_any_cut_of_any_dump(spark, tmp_path):
+    rng = random.Random(8)
+    texts = [_random_dump(rng) for _ in range(30)]
+    for i, text in enumerate(texts):
+        (tmp_path / f"{i:03d}.sql").write_bytes(text.encode())
+    for size in ("60b", "1m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+        try:
+            records = R._records(spark, str(tmp_path), ";\n", False)
+            rows = whole_statements(records, ";\n").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        got = {}
+        for r in sorted(rows, key=lambda r: (r.block, r.seq, r.part)):
+            got.setdefault(r.file[-7:-4], []).append(r.text.strip(" \t\r\n"))
+        for i, text in enumerate(texts):
+            assert [s for s in got.get(f"{i:03d}", []) if s.strip(" \t\r\n;")] == _plain_split(text), (size, text)
 
 
 def test_two_delimiter_sections(dump):
@@ -197,11 +265,13 @@ def test_escaped_quotes_and_lines(dump):
     assert len(got) == 1 and "(1, 'hello')" in got[0][2]
 
 
-def test_cut_literal_is_an_error(dump):
+def test_cut_literal(dump):
     text = "INSERT INTO t VALUES ('a;\nb');\nSELECT 1;\n"
-    with pytest.raises(Exception, match="whole_files=True"):
-        dump(text)
-    assert dump(text, whole_files=True)[0][2] == "INSERT INTO t VALUES ('a;\nb')"
+    with pytest.raises(Exception, match="does not end"):
+        dump(text, delimiters=False)
+    assert [b for *_, b in dump(text)] == [b for *_, b in dump(text, whole_files=True)] == ["INSERT INTO t VALUES ('a;\nb')", "SELECT 1"]
+    with pytest.raises(Exception, match="does not end"):
+        dump("SELECT 1;\nINSERT INTO t VALUES ('a;\nb);\n")
 
 
 def test_crlf(dump):
