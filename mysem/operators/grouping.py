@@ -88,10 +88,35 @@ def array_agg(
 
 
 def with_rollup(df: DataFrame, by: list[str], *aggs: Column) -> DataFrame:
-    """``GROUP BY by WITH ROLLUP``."""
+    """``GROUP BY by WITH ROLLUP`` with any aggregates; every row is taken once for each level."""
     return df.rollup(*by).agg(*aggs)
 
 
+# Per aggregate of rollup_levels: what is kept of each of the finest groups, and how that of several groups is put together.
+_LEVELS = {
+    "sum": ([F.sum], lambda p: F.sum(p)),
+    "count": ([F.count], lambda p: F.coalesce(F.sum(p), F.lit(0))),
+    "min": ([F.min], lambda p: F.min(p)),
+    "max": ([F.max], lambda p: F.max(p)),
+    "avg": ([lambda c: F.sum(c.cast("double")), F.count], lambda p, n: F.try_divide(F.sum(p), F.sum(n))),
+}
+
+
+def rollup_levels(df: DataFrame, by: list[str], **aggs: tuple[str, Column | str]) -> DataFrame:
+    """``GROUP BY by WITH ROLLUP`` of sums, counts, minima, maxima and averages, as ``name=("sum", column)``; ``"*"`` counts rows.
+
+    Rows are summed up once, by all columns of ``by``; the levels above are put together from those groups alone.
+    """
+    parts, merged = [], []
+    for name, (kind, c) in aggs.items():
+        keep, merge = _LEVELS[kind]
+        c = F.lit(1) if isinstance(c, str) and c == "*" else F.col(c) if isinstance(c, str) else c
+        names = [f"__{name}_{i}" for i in range(len(keep))]
+        parts += [k(c).alias(n) for k, n in zip(keep, names)]
+        merged.append(merge(*[F.col(f"`{n}`") for n in names]).alias(name))
+    return df.groupBy(*by).agg(*parts).rollup(*by).agg(*merged)
+
+
 def _in_order(at: str, v: str) -> Column:
     return F.transform(F.array_sort(F.collect_list(F.struct(at, v))), lambda s: s[v])
 

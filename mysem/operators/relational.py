@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mysem.functions.conditional import field_rank
 from mysem.operators import ordering
 from mysem.operators.numbering import number_rows
+from mysem.session import written
 
 
 def order_by(df: DataFrame, order) -> DataFrame:
@@ -25,10 +26,12 @@ def limit_offset(df: DataFrame, order, offset: int, count: int, deep: int = 1_00
 
     The first rows are found by keeping the best ``offset + count`` of every
     task. Past ``deep`` that would be too many for one task, so the sorted
-    rows are numbered instead.
+    rows are numbered instead. Rows the order leaves tied are taken by a hash
+    of their values either way.
     """
     if offset + count <= deep:
-        return order_by(df, order).offset(offset).limit(count)
+        tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        return df.orderBy(*ordering.columns(order), tie).offset(offset).limit(count)
     numbered = number_rows(df, order, "__n", start=0)
     page = numbered.where((F.col("__n") >= offset) & (F.col("__n") < offset + count))
     return page.orderBy("__n").drop("__n")
@@ -42,9 +45,29 @@ def found_rows(df: DataFrame, alias: str = "found_rows") -> DataFrame:
     return df.withColumn(alias, df.agg(F.count("*")).scalar())
 
 
-def random_sample_order(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
-    """``ORDER BY RAND() LIMIT n``; every task keeps at most ``n`` rows."""
-    return df.orderBy(F.rand(seed)).limit(n)
+# The first cut of a large sample is made between this many ranges of random keys.
+_RANGES = 1 << 16
+
+
+def random_sample_order(df: DataFrame, n: int, seed: int | None = None, deep: int = 1_000_000) -> DataFrame:
+    """``ORDER BY RAND() LIMIT n``.
+
+    Every task keeps at most ``n`` rows. Past ``deep`` that would be too many for one task: random keys are written with the rows, a count of keys
+    by range shows in which range the ``n``-th lies, rows of that range alone are cut exactly, and what is left is sorted by range.
+    """
+    if n <= deep:
+        return df.orderBy(F.rand(seed)).limit(n)
+    keyed = written(df.withColumns({"__key": F.rand(seed), "__tie": F.monotonically_increasing_id()}), "random-keys")
+    place = F.floor(F.col("__key") * _RANGES).cast("int")
+    counts = sorted((r.place, r.n) for r in keyed.groupBy(place.alias("place")).agg(F.count("*").alias("n")).collect())
+    before = 0
+    for at, size in counts:
+        if before + size >= n:
+            last = keyed.where(place == at).orderBy("__key", "__tie").limit(n - before)
+            keyed = keyed.where(place < at).unionByName(last)
+            break
+        before += size
+    return keyed.orderBy("__key", "__tie").drop("__key", "__tie")
 
 
 def minus_except(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -143,6 +143,25 @@ def _(t):
     return out.select("o_orderstatus", F.array_join(F.transform("keys", lambda k: k.cast("string")), " ").alias("keys"))
 
 
+@query(
+    "rollup_levels",
+    """select l_returnflag, l_linestatus, l_linenumber, count(*) as n, count(nullif(l_linenumber, 3)) as n_other, sum(l_suppkey) as suppliers,
+      min(l_shipdate) as first_day, max(l_shipdate) as last_day, round(avg(l_quantity), 6) as mean_quantity
+    from lineitem group by rollup (l_returnflag, l_linestatus, l_linenumber)""",
+)
+def _(t):
+    return grouping.rollup_levels(
+        t.lineitem,
+        ["l_returnflag", "l_linestatus", "l_linenumber"],
+        n=("count", "*"),
+        n_other=("count", F.nullif("l_linenumber", F.lit(3))),
+        suppliers=("sum", "l_suppkey"),
+        first_day=("min", "l_shipdate"),
+        last_day=("max", "l_shipdate"),
+        mean_quantity=("avg", "l_quantity"),
+    ).withColumn("mean_quantity", F.round("mean_quantity", 6))
+
+
 @query(
     "with_rollup",
     """select o_orderstatus, o_orderpriority, count(*) as n, cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total
@@ -270,6 +289,18 @@ def _(t):
     return relational.order_by_field(df, "o_orderpriority", ["3-MEDIUM", "1-URGENT"], then="o_orderkey")
 
 
+@query(
+    "random_sample_large",
+    "select cast(count(*) * 2 // 3 as bigint) as n, cast(count(*) * 2 // 3 as bigint) as n_known from lineitem",
+)
+def _(t):
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    # Two thirds of all rows, by the plan for samples beyond one task.
+    sample = relational.random_sample_order(rows, rows.count() * 2 // 3, seed=11, deep=0)
+    known = sample.join(rows.distinct().withColumn("known", F.lit(1)), rows.columns, "left")
+    return known.agg(F.count("*").alias("n"), F.count("known").alias("n_known"))
+
+
 @query("random_sample_order", "select cast(least(100, count(*)) as integer) as n, cast(least(100, count(*)) as integer) as n_known from orders")
 def _(t):
     sample = relational.random_sample_order(t.orders.select("o_orderkey"), 100, seed=11)

@@ -411,3 +411,50 @@ def test_hot_key_joins_are_split(spark):
     finally:
         for k in settings:
             spark.conf.unset(k)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_key_cardinality_of_hot_and_null_keys(spark, seed):
+    rng = random.Random(seed)
+    data = [("hot" if rng.random() < 0.5 else rng.choice([None, "a", "b"]), rng.choice([None, 1, 2, 3]), rng.choice([None, 0.5, float(rng.randrange(90))])) for _ in range(900)]
+    df = spark.createDataFrame(data, "a string, b int, c double").repartition(5)
+    want = []
+    for i, name in enumerate("abc"):
+        prefixes = {r[: i + 1] for r in data}
+        want.append((1, i + 1, name, "YES", len(prefixes)))
+    assert rows(profile.key_cardinality(df, ["a", "b", "c"])) == want
+    assert rows(profile.key_cardinality(df.limit(0), ["a", "b"])) == [(0, 1, "a", "", 0), (0, 2, "b", "", 0)]
+    unique = spark.createDataFrame([(i // 7, i) for i in range(500)], "a int, b int").repartition(6)
+    assert rows(profile.key_cardinality(unique, ["a", "b"])) == [(0, 1, "a", "", 72), (0, 2, "b", "", 500)]
+
+
+def test_rollup_from_the_finest_groups(spark, skewed):
+    import datetime as dt
+
+    df = skewed.withColumn("d", F.expr("date_add(date'2024-01-01', o)"))
+    aggs = {"n": ("count", "*"), "vs": ("count", "v"), "s": ("sum", "o"), "low": ("min", F.col("id") + 1), "high": ("max", "d"), "mean": ("avg", "o")}
+    plain = grouping.with_rollup(
+        df, ["k", "o"], F.count("*").alias("n"), F.count("v").alias("vs"), F.sum("o").alias("s"), F.min(F.col("id") + 1).alias("low"), F.max("d").alias("high"), F.avg("o").alias("mean")
+    )
+    levels = grouping.rollup_levels(df, ["k", "o"], **aggs)
+    assert rows(levels) == rows(plain) and any(isinstance(r.high, dt.date) for r in levels.collect())
+    assert rows(grouping.rollup_levels(df.limit(0), ["k"], n=("count", "*"), s=("sum", "o"))) == rows(grouping.with_rollup(df.limit(0), ["k"], F.count("*").alias("n"), F.sum("o").alias("s")))
+    # Rows are taken once for each level only after they have been summed up.
+    steps = [x.strip(" +-:") for x in levels._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    assert [s.split()[0] for s in steps if s.startswith(("Expand", "Aggregate"))][:3] == ["Aggregate", "Expand", "Aggregate"]
+
+
+def test_large_random_samples(spark):
+    df = spark.range(3000).withColumn("x", F.col("id") % 7)
+    whole = [r.id for r in relational.random_sample_order(df, 3000, seed=3, deep=0).collect()]
+    assert sorted(whole) == list(range(3000)) and whole != sorted(whole)
+    some = [r.id for r in relational.random_sample_order(df, 1234, seed=3, deep=0).collect()]
+    assert len(some) == len(set(some)) == 1234 and some == whole[:1234] and abs(sum(some) / 1234 - 1500) < 120
+    assert relational.random_sample_order(df, 5000, seed=3, deep=0).count() == 3000
+    assert relational.random_sample_order(df, 10, seed=3, deep=0).columns == df.columns
+
+
+def test_tied_pages_do_not_depend_on_the_plan(spark):
+    df = spark.createDataFrame([(i, i % 3) for i in range(60)], "id int, k int").repartition(4)
+    for offset in (0, 7, 33):
+        assert rows(relational.limit_offset(df, "k", offset, 9)) == rows(relational.limit_offset(df, "k", offset, 9, deep=0))
