@@ -81,7 +81,9 @@ def train(examples: DataFrame, bias: float, rate: float = 0.5, decay: float = 1e
     do not recur lose their weight.
     """
     spark = examples.sparkSession
-    examples = written(examples.repartition(PARTITIONS), "examples")
+    # Dealt and sorted by what they hold, so that the weights do not depend on how the input was split.
+    order = [F.xxhash64("features", "amounts", "parts", "label"), F.xxhash64("parts", "label", "features")]
+    examples = written(examples.repartition(PARTITIONS, order[0]).sortWithinPartitions(*order), "examples")
     common = examples.select(F.explode(F.array_distinct("features")).alias("at")).groupBy("at").count().where(F.col("count") >= MIN_DOCUMENTS)
     usable = np.append(common.select("at").toPandas()["at"].to_numpy(dtype=np.int32), np.int32(SIZE - 1))
     used = spark.sparkContext.broadcast(usable)

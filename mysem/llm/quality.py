@@ -22,6 +22,8 @@ from mysem.session import written
 MAX_TRAINING_DOCUMENTS = 20_000
 GOOD, BAD, NONE = "g", "b", "-"
 EM_ROUNDS = 200
+# Words among which different ones are counted.
+WINDOW = 200
 # Ordinary punctuation.
 PUNCTUATION = ".,;:!?'\"()-\n"
 
@@ -57,8 +59,10 @@ def statistics(texts: list[str]) -> dict[str, np.ndarray]:
     owner = np.repeat(np.arange(len(texts)), n_words)
     echo = np.zeros(len(at))
     echo[1:] = (words[1:] == words[:-1]) & (owner[1:] == owner[:-1])
-    # Different words: equal ones of a text have equal keys.
-    different = owner[np.unique(T.mixed(words ^ T.mixed(owner + 1)), return_index=True)[1]]
+    # Different words of each stretch of WINDOW words: equal ones of a stretch have equal keys.
+    place = np.arange(len(at)) - np.repeat(first, n_words)
+    stretch = np.cumsum(place % WINDOW == 0)
+    different = owner[np.unique(T.mixed(words ^ T.mixed(stretch)), return_index=True)[1]]
     line_repeats = np.zeros(len(texts))
     for i, t in enumerate(texts):
         lines = [x for x in t.split("\n") if x]
@@ -71,13 +75,13 @@ def statistics(texts: list[str]) -> dict[str, np.ndarray]:
     n_tokens = np.diff(np.append(token_first, len(token_at)))
     lone_sum = T.sums_by_row(lone, token_first, len(token_at))
     chars = (ends - starts).astype(float)
-    # Long texts repeat words anyway: compare with what a text of at most 200 words would show.
-    variety = np.where(n_words > 0, ratio(np.bincount(different, minlength=len(texts)).astype(float), np.minimum(n_words, 200).astype(float)), 1.0)
+    # Long texts repeat words anyway, so variety is that of their stretches, by length.
+    variety = np.where(n_words > 0, ratio(np.bincount(different, minlength=len(texts)).astype(float), n_words.astype(float)), 1.0)
     return {
         "symbol_share": ratio(per_text(~plain), chars),
         "capital_share": ratio(per_text(upper), per_text(word | upper)),
         "repeated_word_share": ratio(T.sums_by_row(echo, first, len(at)), n_words.astype(float)),
-        "different_word_share": np.minimum(variety, 1.0),
+        "different_word_share": variety,
         "repeated_line_share": line_repeats,
         "lone_symbol_share": ratio(lone_sum, n_tokens.astype(float)),
         "exclamation_share": ratio(per_text(codes == ord("!")), np.maximum(n_words, 1).astype(float)),

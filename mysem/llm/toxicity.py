@@ -20,8 +20,6 @@ from mysem.llm import texts as T
 # Documents the scorer is fitted on; all are used if there are fewer.
 MAX_TRAINING_DOCUMENTS = 20_000
 PREFIX = 4
-# Sentences below this probability do not add up, however many; the highest always counts.
-NOISE = 0.05
 # How far weights shrink after each round of training.
 SHRINK = 0.1
 _PREFIX_SALT = np.uint64(0x5851F42D4C957F2D)
@@ -109,9 +107,7 @@ def score(df: DataFrame, weights: np.ndarray, *more: Column, id_col: str = "doc_
         features, sizes, parts, begin, stop = sentences([t or "" for t in batch.column("text").to_pylist()])
         p = hashed.part_scores(shared.value.dense, features, 1.0, sizes)
         owner = np.repeat(np.arange(len(parts)), parts)
-        highest = np.zeros(len(parts))
-        np.maximum.at(highest, owner, p)
-        whole = np.maximum(hashed.noisy_or(np.where(p >= NOISE, p, 0.0), parts), highest)
+        whole = hashed.noisy_or(p, parts) + 0.0
         found: dict[int, list[dict]] = {}
         for i in np.flatnonzero(p >= 0.5).tolist():
             found.setdefault(int(owner[i]), []).append({"start": int(begin[i]), "end": int(stop[i]), "score": float(p[i])})
