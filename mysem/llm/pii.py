@@ -1,14 +1,14 @@
 """Personal data in texts: fixed formats, and bootstrapped contextual extraction beyond them.
 
-The fixed formats find seeds. The words next to seeds are lexical patterns; the tokens of a fitting shape next to
-the same words are candidate instances. Patterns and instances form a graph that is scored in turns: a pattern by the
+The fixed formats find seeds. The words next to trusted instances, at first the seeds, are lexical patterns; what has a fitting
+shape next to the same words is a candidate instance. Patterns and instances form a graph that is scored in turns: a pattern by the
 trusted instances beside its word per occurrence of the word in all texts, an instance by the patterns it stands
-beside. Instances of high score are reported. Everything is DataFrame functions.
+beside. An instance of high score is reported, and vouches for patterns in the next turn, until no instance is added. Everything is DataFrame functions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mysem.llm import texts as T
@@ -25,52 +25,52 @@ CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
-# Tokens with a digit or an at sign, and the shapes that make one a candidate of a kind.
-TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+# What may be a candidate, anywhere in a text, and the shapes that make it one of a kind. Each alternative begins only where none of its characters
+# stands before, or gives nothing back, so long runs stay linear.
+CANDIDATE = (
+    r"(?<![^\s@<>\"',;()])[^\s@<>\"',;()]++@[^\s@<>\"',;()]++|(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}"
+    r"|(?<![0-9.])[0-9]++(?:\.[0-9]++){3}(?![0-9.])|(?<![0-9])\(?[0-9](?:[\x20()./-]{0,2}+[0-9]){6,}+"
+)
 SHAPES = {
     "email": r"^[^@\s]+@[^@\s]+$",
     "ip": r"^(?:[0-9]+(?:\.[0-9]+){3}|(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4})$",
-    "card": r"^[0-9]{4,}(?:-?[0-9]{4,}){2,4}$",
-    "phone": r"^(?=(?:[^0-9]*[0-9]){7,15}[^0-9]*$)\(?[0-9][0-9().-]+$",
+    "card": r"^[0-9]{4,}(?:[\x20-]?[0-9]{4,}){2,4}$",
+    "phone": r"^(?=(?:[^0-9]*[0-9]){7,15}[^0-9]*$)\(?[0-9][0-9()./\x20-]+$",
 }
 
-# Characters beside a match in which its neighbour words are looked for, and the longest candidate.
-CONTEXT = 100
-# Different seeds a pattern needs; what a pattern and an instance need to be trusted; rounds of scoring.
-MIN_SEEDS = 5
+# Different trusted instances a pattern needs; what a pattern and an instance need to be trusted.
+MIN_SUPPORT = 5
 TRUSTED_PATTERN = 0.5
 TRUSTED_INSTANCE = 0.8
-ROUNDS = 3
+# Scoring ends when no instance's trust grows by more.
+SETTLED = 0.01
 # Up to so many words of patterns are looked up in a list while the texts are read.
 LISTED_WORDS = 10_000
 
+OTHERS = len(KINDS)
+_HIT = "array<struct<kind:int,place:int,gap:int,value:string,left:string,right:string>>"
 
-def _neighbours(gap: Column, last: bool) -> Column:
-    """The last (or first) word of a gap in small letters, or nothing."""
-    near = F.right(gap, F.lit(CONTEXT)) if last else F.left(gap, F.lit(CONTEXT))
-    return F.lower(F.element_at(F.split(F.trim(F.regexp_replace(near, r"\s+", " ")), " "), -1 if last else 1))
 
+def _word(gap: Column, last: bool) -> Column:
+    """The last (or first) run of letters of a gap in small letters, or nothing."""
+    return F.lower(F.regexp_extract(gap, r"(?<!\p{L})(\p{L}++)\P{L}*+$" if last else r"^\P{L}*+(\p{L}++)", 1))
 
-def located(df: DataFrame, text: str, pattern: str, out: str, only: Column | None = None) -> DataFrame:
-    """Add the matches of ``pattern``, leftmost and not overlapping: ``start, end, value, left, right`` with neighbour words."""
-    source = F.col(text) if only is None else F.when(only, F.col(text)).otherwise("")
-    df = df.withColumn("__hits", F.regexp_extract_all(source, F.lit(pattern), F.lit(0)))
-    df = df.withColumn("__gaps", F.when(F.size("__hits") > 0, F.split(source, pattern, -1)))
+
+def hits(df: DataFrame, text: str, pattern: str, kind: int, out: str, only: Column) -> DataFrame:
+    """Add the matches of ``pattern``, leftmost and not overlapping, in their order, with the characters since the last one and the words around."""
+    df = df.withColumn("__hits", F.regexp_extract_all(F.when(only, F.col(text)).otherwise(""), F.lit(pattern), F.lit(0)))
+    df = df.withColumn("__gaps", F.when(F.size("__hits") > 0, F.split(F.col(text), pattern, -1)))
     n = F.size("__hits")
     df = df.withColumns({"__before": F.slice("__gaps", F.lit(1), n), "__after": F.slice("__gaps", F.lit(2), n)})
-    pairs = F.arrays_zip("__before", "__hits", "__after")
-    kind = "array<struct<start:bigint,end:bigint,value:string,left:string,right:string>>"
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(kind).alias("found"))
 
-    def step(acc: Column, x: Column) -> Column:
-        gap, hit, after = x["__before"], x["__hits"], x["__after"]
-        first = acc["at"] + F.length(gap)
-        end = first + F.length(hit)
-        one = F.struct(first.alias("start"), end.alias("end"), hit.alias("value"), _neighbours(gap, True).alias("left"), _neighbours(after, False).alias("right"))
-        return F.struct(end.alias("at"), F.concat(acc["found"], F.array(one)).alias("found"))
+    def one(x: Column, i: Column) -> Column:
+        gap, value, after = x["__before"], x["__hits"], x["__after"]
+        return F.struct(
+            F.lit(kind).alias("kind"), i.alias("place"), F.length(gap).alias("gap"), value.alias("value"), _word(gap, True).alias("left"), _word(after, False).alias("right")
+        )
 
-    found = F.when(n > 0, F.aggregate(pairs, start, step, lambda acc: acc["found"])).otherwise(F.array().cast(kind))
-    return df.withColumn(out, found).drop("__hits", "__gaps", "__before", "__after")
+    found = F.when(n > 0, F.transform(F.arrays_zip("__before", "__hits", "__after"), one)).otherwise(F.array().cast(_HIT))
+    return df.withColumn(out, found.cast(_HIT)).drop("__hits", "__gaps", "__before", "__after")
 
 
 def _digits(value: Column) -> Column:
@@ -88,47 +88,45 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def base_spans(df: DataFrame) -> DataFrame:
-    """Add ``base`` (the fixed formats) and ``others`` (candidate tokens that overlap none) to rows of ``text``."""
-    text = F.col("text")
-    has_digit = text.rlike("[0-9]")
-    for kind, pattern, only in (("email", EMAIL, text.contains("@")), ("ip", IP, has_digit), ("card", CARD, has_digit), ("phone", PHONE, text.contains("+"))):
-        df = located(df, "text", pattern, f"__{kind}", only)
-        valid = F.filter(f"__{kind}", lambda s: _valid(kind, s["value"]))
-        df = df.withColumn(
-            f"__{kind}",
-            F.transform(
-                valid,
-                lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end"), *[s[c].alias(c) for c in ("value", "left", "right")]),
-            ),
-        )
-    df = df.withColumn("base", F.array_sort(F.concat(*[F.col(f"__{kind}") for kind in KINDS]))).drop(*[f"__{kind}" for kind in KINDS])
-    df = located(df, "text", TOKEN, "__tokens", has_digit | text.contains("@"))
+def spans(found: DataFrame) -> DataFrame:
+    """``row, kind, start, end, value, left, right, base`` of the fixed formats, and of the candidates that overlap none, of rows of ``row, hits``.
 
-    def shaped(s: Column) -> Column:
-        # Punctuation around the token is not part of it.
-        core = F.regexp_replace(F.regexp_replace(s["value"], r"^[^A-Za-z0-9(]+", ""), r"[^A-Za-z0-9]++$", "")
-        first = s["start"] + F.length(s["value"]) - F.length(F.regexp_replace(s["value"], r"^[^A-Za-z0-9(]+", ""))
-        kind = F.coalesce(*[F.when(core.rlike(SHAPES[kind]), F.lit(i)) for i, kind in enumerate(KINDS)])
-        return F.struct(first.alias("start"), kind.alias("kind"), (first + F.length(core)).alias("end"), core.alias("value"), s["left"].alias("left"), s["right"].alias("right"))
-
-    short = F.filter("__tokens", lambda s: F.length(s["value"]) <= CONTEXT)
-    df = df.withColumn("__shaped", F.filter(F.transform(short, shaped), lambda s: s["kind"].isNotNull()))
-    apart = F.filter("__shaped", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return df.withColumn("others", apart).drop("__tokens", "__shaped")
-
-
-def _edges(found: DataFrame, column: str, seed: bool) -> DataFrame:
-    """Pattern (kind, side, word) and instance of every neighbourhood, counted."""
-    spans = found.select(F.explode(column).alias("s")).select("s.kind", F.lower("s.value").alias("instance"), "s.left", "s.right")
+    A match's place is the sum of what stands before it, over thin rows; so a text may have any number of matches.
+    """
+    flat = found.select("row", F.explode("hits").alias("h")).select("row", "h.*")
+    before = Window.partitionBy("row", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    flat = flat.withColumn("end", F.sum(F.col("gap") + F.length("value")).over(before)).withColumn("start", F.col("end") - F.length("value"))
+    value = F.col("value")
+    valid = F.lit(True)
+    for kind, name in enumerate(KINDS):
+        valid = F.when(F.col("kind") == kind, _valid(name, value)).otherwise(valid)
+    base = flat.where(F.col("kind") < OTHERS).where(valid).withColumn("base", F.lit(True))
+    # Punctuation around a candidate is not part of it.
+    others = flat.where(F.col("kind") == OTHERS).withColumn("tail", F.regexp_replace("value", r"^[^A-Za-z0-9(:]+", ""))
+    others = others.withColumn("start", F.col("end") - F.length("tail")).withColumn("value", F.regexp_replace("tail", r"(?<![^A-Za-z0-9:])[^A-Za-z0-9:]++$|[^A-Za-z0-9:]$", ""))
+    shape = F.coalesce(*[F.when(value.rlike(SHAPES[name]), F.lit(i)) for i, name in enumerate(KINDS)])
+    others = others.withColumn("end", F.col("start") + F.length("value")).withColumn("kind", shape).where("kind IS NOT NULL").withColumn("base", F.lit(False))
+    every = base.unionByName(others.drop("tail")).select("row", "kind", "start", "end", "value", "left", "right", "base")
+    # Both windows grow from one end; Spark would sum a window up to the end anew for each row.
+    earlier = Window.partitionBy("row").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("row").orderBy(F.desc("start")).rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.max(F.when(F.col("base"), F.col("end"))).over(earlier)
+    follows = F.min(F.when(F.col("base"), F.col("start"))).over(later)
+    apart = every.withColumns({"reached": reached, "follows": follows})
+    free = (F.coalesce("reached", F.col("start")) <= F.col("start")) & (F.coalesce("follows", F.col("end")) >= F.col("end"))
+    return apart.where(F.col("base") | free).drop("reached", "follows")
+
+
+def _edges(found: DataFrame) -> DataFrame:
+    """Pattern (kind, side, word) and instance of every neighbourhood, counted; ``seed`` if a fixed format found the instance."""
     sides = F.explode(F.array(F.struct(F.lit("left").alias("side"), F.col("left").alias("word")), F.struct(F.lit("right").alias("side"), F.col("right").alias("word"))))
-    flat = spans.select("kind", "instance", sides.alias("p")).select("kind", "instance", "p.*").where("word <> ''")
-    return flat.groupBy("kind", "side", "word", "instance").agg(F.count("*").alias("n")).withColumn("seed", F.lit(seed))
+    flat = found.select("kind", F.lower("value").alias("instance"), "base", sides.alias("p")).select("kind", "instance", "base", "p.*").where("word <> ''")
+    return flat.groupBy("kind", "side", "word", "instance").agg(F.count("*").alias("n"), F.bool_or("base").alias("seed"))
 
 
 def _occurrences(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """How often the patterns' words occur in all texts."""
-    words = texts.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("word"))
+    words = texts.select(F.explode(F.split(F.lower("text"), r"\P{L}+")).alias("word"))
     wanted = patterns.select("word").distinct()
     if wanted.count() <= LISTED_WORDS:
         return words.where(F.col("word").isin([r.word for r in wanted.collect()])).groupBy("word").agg(F.count("*").alias("occurs"))
@@ -136,39 +134,39 @@ def _occurrences(texts: DataFrame, patterns: DataFrame) -> DataFrame:
 
 
 def trusted_instances(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """``kind, instance`` of the candidates that patterns of seeds vouch for."""
-    key = ["kind", "side", "word"]
-    seeds = written(_edges(found, "base", True), "pii-seeds")
-    patterns = written(seeds.groupBy(*key).agg(F.count("*").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS), "pii-patterns")
-    # Only patterns that also stand beside a candidate can discover anything.
-    others = written(_edges(found, "others", False).join(patterns.select(*key), key, "left_semi"), "pii-candidates")
-    useful = written(patterns.join(others.select(*key).distinct(), key, "left_semi"), "pii-useful")
-    counted = _occurrences(texts, useful)
-    edges = seeds.unionByName(others).join(useful.select(*key), key, "left_semi")
-    known = written(edges.join(written(counted, "pii-words"), "word"), "pii-graph")
-    trust = None
-    for _ in range(ROUNDS):
-        scored = known.withColumn("trust", F.when(F.col("seed"), 1.0).otherwise(0.0))
-        if trust is not None:
-            scored = known.join(trust, ["kind", "instance"], "left").withColumn("trust", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("trust", F.lit(0.0))))
-        pattern = scored.groupBy(*key).agg(
-            F.least(F.sum(F.col("n") * F.col("trust")) / F.max("occurs"), F.lit(1.0)).alias("share"), F.sum("trust").alias("support")
-        )
-        # Few trusted instances are weak evidence.
-        pattern = pattern.select(*key, (F.col("share") * F.col("support") / (F.col("support") + 1)).alias("score")).where(F.col("score") >= TRUSTED_PATTERN)
-        pattern = written(pattern, "pii-pattern-scores")
+    """``kind, instance`` of the candidates that patterns vouch for.
+
+    A pattern's score is the share of its word's occurrences that stand beside instances, each by its trust; few different ones are weak evidence.
+    A candidate's trust is the chance that not all patterns beside it are wrong. Each turn goes over the graph alone, not the texts.
+    """
+    key, of = ["kind", "side", "word"], ["kind", "instance"]
+    edges = written(_edges(found), "pii-edges")
+    # A pattern with fewer neighbours can never be trusted, and one without candidates discovers nothing.
+    able = edges.groupBy(*key).agg(F.count("*").alias("n"), F.count_if(~F.col("seed")).alias("new")).where((F.col("n") >= MIN_SUPPORT) & (F.col("new") > 0)).select(*key)
+    able = written(able, "pii-patterns")
+    counted = written(_occurrences(texts, able), "pii-words")
+    known = written(edges.join(able, key, "left_semi").join(counted, "word"), "pii-graph")
+    seeds = known.where("seed").select(*of, F.lit(1.0).alias("trust")).distinct()
+    trust = written(seeds, "pii-trust")
+    while True:
+        beside = known.join(trust, of).groupBy(*key).agg(F.sum(F.col("n") * F.col("trust")).alias("n"), F.max("occurs").alias("occurs"), F.sum("trust").alias("support"))
+        share = F.least(F.col("n") / F.col("occurs"), F.lit(1.0))
+        pattern = beside.where(F.col("support") >= MIN_SUPPORT).select(*key, (share * F.col("support") / (F.col("support") + 1)).alias("score"))
+        pattern = written(pattern.where(F.col("score") >= TRUSTED_PATTERN), "pii-pattern-scores")
         missed = F.sum(F.log(1 - F.least("score", F.lit(0.999))))
-        trust = written(
-            known.where("NOT seed").join(pattern, key).groupBy("kind", "instance").agg((1 - F.exp(missed)).alias("trust")), "pii-instance-scores"
-        )
-    return trust.where(F.col("trust") >= TRUSTED_INSTANCE).select("kind", "instance")
+        scored = known.where("NOT seed").join(pattern, key).groupBy(*of).agg((1 - F.exp(missed)).alias("trust"))
+        before, trust = trust, written(seeds.unionByName(scored.join(seeds, of, "left_anti")), "pii-trust")
+        # Trust only grows from turn to turn.
+        change = trust.join(before.withColumnRenamed("trust", "was"), of, "left").agg(F.max(F.col("trust") - F.coalesce("was", F.lit(0.0)))).first()[0]
+        if change is None or change < SETTLED:
+            return trust.where(F.col("trust") >= TRUSTED_INSTANCE).select(*of)
 
 
-def _joined(spans: Column) -> Column:
+def _joined(found: Column) -> Column:
     """``kind:start:end`` of spans (start, kind, end), comma-joined in order."""
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(
-        F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ","
+        F.transform(F.array_sort(found), lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ","
     )
 
 
@@ -176,21 +174,35 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     """Per row ``doc_id``, counts of the fixed formats, ``base_sha256``, ``spans`` and ``n_found`` (spans beyond the fixed formats).
 
     Spans are ``kind:start:end`` in code points, by start, then kind as listed. Null texts count as empty. Rows that repeat an id
-    each get a row. Candidates are tokens of at most 100 characters.
+    each get a row. A table without rows gives none.
     """
+    # Thin rows are numbered once; texts are read again only for their words.
     rows = T.inputs(df, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = written(base_spans(rows).drop("text").withColumn("row", F.monotonically_increasing_id()), "pii-spans")
-    trusted = written(trusted_instances(found, rows), "pii-trusted")
-    thin = lambda spans: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    new = found.select("row", F.explode("others").alias("s")).select("row", F.col("s.kind").alias("kind"), F.lower("s.value").alias("instance"), F.col("s.start").alias("start"), F.col("s.end").alias("end"))
-    new = new.join(trusted, ["kind", "instance"], "left_semi").groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
-    base = thin(F.col("base"))
-    every = F.when(F.col("more").isNull(), base).otherwise(F.concat(base, F.col("more")))
-    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
-    return found.join(written(new, "pii-found"), "row", "left").select(
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    text = F.col("text")
+    has_digit = text.rlike("[0-9]")
+    searched = [(EMAIL, text.contains("@")), (IP, has_digit), (CARD, has_digit), (PHONE, text.contains("+")), (CANDIDATE, has_digit | text.contains("@") | text.contains("::"))]
+    for kind, (pattern, only) in enumerate(searched):
+        numbered = hits(numbered, "text", pattern, kind, f"__h{kind}", only)
+    raw = written(numbered.select("row", "doc_id", F.concat(*[F.col(f"__h{kind}") for kind in range(len(searched))]).alias("hits")), "pii-hits")
+    found = written(spans(raw), "pii-spans")
+    trusted = written(trusted_instances(found, rows), "pii-found")
+    kept = found.where("base").unionByName(
+        found.where("NOT base").withColumn("instance", F.lower("value")).join(trusted, ["kind", "instance"], "left_semi").select(*found.columns)
+    )
+    one = F.struct(F.col("start").cast("long").alias("start"), "kind", F.col("end").cast("long").alias("end"))
+    per_row = kept.groupBy("row").agg(
+        F.collect_list(F.when(F.col("base"), one)).alias("base"),
+        F.collect_list(one).alias("every"),
+        *[F.count_if(F.col("base") & (F.col("kind") == k)).alias(f"n_{name}") for k, name in enumerate(KINDS)],
+        F.count_if(~F.col("base")).alias("n_found"),
+    )
+    joined = raw.select("row", "doc_id").join(written(per_row, "pii-by-row"), "row", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return joined.select(
         "doc_id",
-        *[count(k) for k in range(len(KINDS))],
-        F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"),
-        _joined(every).alias("spans"),
-        F.coalesce(F.size("more"), F.lit(0)).cast("long").alias("n_found"),
+        *[zero(f"n_{name}") for name in KINDS],
+        F.sha2(F.coalesce(_joined(F.col("base")), F.lit("")).cast("binary"), 256).alias("base_sha256"),
+        F.coalesce(_joined(F.col("every")), F.lit("")).alias("spans"),
+        zero("n_found"),
     )

@@ -6,13 +6,14 @@ import os
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from mysem.llm import bytepairs, decontaminate, dialogues, runs
+from mysem.llm import bytepairs, decontaminate, dialogues, pii, runs
 from mysem.llm import queries as _queries  # noqa: F401
 from mysem.llm.registry import QUERIES
 from test_llm import LONG, ODD, SF, table
@@ -384,3 +385,73 @@ def test_blocks_agree_whatever_the_splits(spark, monkeypatch):
         assert sorted(map(str, fn(spark, SF).collect())) == want
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+# 5
+
+
+def plain_bootstrap(texts, spans):
+    """The trusted instances by sets and sums; ``spans`` are (kind, value, left, right, base)."""
+    edges = Counter()
+    seeds = set()
+    for kind, value, left, right, base in spans:
+        for side, word in (("left", left), ("right", right)):
+            if word:
+                edges[(kind, side, word), (kind, value.lower())] += 1
+        if base:
+            seeds.add((kind, value.lower()))
+    occurs = Counter(w for t in texts for w in re.findall(r"[^\W\d_]+", t.lower()))
+    trust = {i: 1.0 for _, i in edges if i in seeds}
+    while True:
+        score = {}
+        for pattern in {p for p, _ in edges}:
+            beside = {i: n for (p, i), n in edges.items() if p == pattern and i in trust}
+            support = sum(trust[i] for i in beside)
+            share = min(1, sum(n * trust[i] for i, n in beside.items()) / occurs[pattern[2]]) * support / (support + 1)
+            if support >= pii.MIN_SUPPORT and share >= pii.TRUSTED_PATTERN:
+                score[pattern] = min(share, 0.999)
+        wrong = Counter()
+        for p, i in edges:
+            if i not in seeds and p in score:
+                wrong[i] = wrong.get(i, 1.0) * (1 - score[p])
+        now = {i: 1.0 for i in trust if i in seeds} | {i: 1 - w for i, w in wrong.items()}
+        change = max((t - trust.get(i, 0) for i, t in now.items()), default=0)
+        trust = now
+        if change < pii.SETTLED:
+            return {i for i, t in trust.items() if t >= pii.TRUSTED_INSTANCE}
+
+
+def test_bootstrapping_spreads(spark):
+    rows = [(i, f"some talk here phone: +49 30 1234{i:03} and more") for i in range(80)]
+    rows += [(100 + i, f"other words phone: 030-76543{i:02} rufnummer") for i in range(8)]
+    rows += [(200, "nothing 040-1234567 rufnummer"), (201, "phone: 030 7654321 (space)"), (202, '{"phone":"0301234567","x":1}'), (203, "it costs 030-7654329 or so")]
+    got = {r.doc_id: r for r in pii.scan(table(spark, [(*r, None, None, None) for r in rows])).collect()}
+    assert [got[i].n_found for i in (107, 200, 201, 202, 203)] == [1, 1, 1, 1, 0]
+
+
+def test_bootstrapping_matches_plain_loops(spark):
+    rng = random.Random(51)
+    rows = [(i, f"some talk here phone: +49 30 1234{i:03} and more") for i in range(300)]
+    for i in range(300, 500):
+        word = rng.choice(["phone", "rufnummer", "mail", "costs", "bei", "", "ruf"])
+        number = rng.choice([f"0{rng.randrange(10**7)} {rng.randrange(10**4)}", f"a{rng.randrange(9)}@b", f"x{rng.randrange(20)}@y.zz", f"+49{rng.randrange(10**9):09}", f"9{rng.randrange(30)}.1.2.3"])
+        rows.append((i, f"{rng.choice(['', 'so '])}{word} {number} {rng.choice(['rufnummer', 'ok', '', 'ende'])}"))
+    docs = table(spark, [(*r, None, None, None) for r in rows])
+    numbered = docs.select("doc_id", "text")
+    got = {r.doc_id: r for r in pii.scan(docs).collect()}
+    # The same by plain loops over the spans before trust decides.
+    searched = [(pii.EMAIL, True), (pii.IP, True), (pii.CARD, True), (pii.PHONE, True), (pii.CANDIDATE, True)]
+    wide = numbered.withColumnRenamed("doc_id", "row")
+    for kind, (pattern, _) in enumerate(searched):
+        wide = pii.hits(wide, "text", pattern, kind, f"h{kind}", F.lit(True))
+    every = pii.spans(wide.select("row", F.concat(*[F.col(f"h{k}") for k in range(5)]).alias("hits"))).collect()
+    trusted = plain_bootstrap([t for _, t in rows], [(r.kind, r.value, r.left, r.right, r.base) for r in every])
+    want = Counter(r.row for r in every if not r.base and (r.kind, r.value.lower()) in trusted)
+    assert {i: r.n_found for i, r in got.items()} == {i: want[i] for i, _ in rows} and sum(want.values()) > 5
+
+
+def test_many_matches_in_one_text(spark):
+    texts = ["1234 x " * 60_000, "a1@b.co, " * 40_000, "7" * 400_000, "a" * 400_000 + "1"]
+    got = {r.doc_id: r for r in pii.scan(table(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])).collect()}
+    assert [got[i].n_email for i in range(4)] == [0, 40_000, 0, 0]
+    assert got[1].spans.split(",")[-1] == f"email:{9 * 39_999}:{9 * 39_999 + 7}"
