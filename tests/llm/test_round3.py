@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from mysem.llm import bytepairs, decontaminate, dialogues, pii, runs
+from mysem.llm import bytepairs, decontaminate, dialogues, pii, runs, secrets
 from mysem.llm import queries as _queries  # noqa: F401
 from mysem.llm.registry import QUERIES
 from test_llm import LONG, ODD, SF, table
@@ -432,9 +432,9 @@ def test_bootstrapping_spreads(spark):
 def test_bootstrapping_matches_plain_loops(spark):
     rng = random.Random(51)
     rows = [(i, f"some talk here phone: +49 30 1234{i:03} and more") for i in range(300)]
-    for i in range(300, 500):
-        word = rng.choice(["phone", "rufnummer", "mail", "costs", "bei", "", "ruf"])
-        number = rng.choice([f"0{rng.randrange(10**7)} {rng.randrange(10**4)}", f"a{rng.randrange(9)}@b", f"x{rng.randrange(20)}@y.zz", f"+49{rng.randrange(10**9):09}", f"9{rng.randrange(30)}.1.2.3"])
+    for i in range(300, 390):
+        word = rng.choice(["phone", "phone", "phone", "rufnummer", "mail", "costs", "bei", "", "ruf"])
+        number = rng.choice([f"0{rng.randrange(10**6)} {rng.randrange(10**3)}", f"a{rng.randrange(9)}@b", f"x{rng.randrange(20)}@y.zz", f"+49{rng.randrange(10**9):09}", f"9{rng.randrange(30)}.1.2.3"])
         rows.append((i, f"{rng.choice(['', 'so '])}{word} {number} {rng.choice(['rufnummer', 'ok', '', 'ende'])}"))
     docs = table(spark, [(*r, None, None, None) for r in rows])
     numbered = docs.select("doc_id", "text")
@@ -447,7 +447,7 @@ def test_bootstrapping_matches_plain_loops(spark):
     every = pii.spans(wide.select("row", F.concat(*[F.col(f"h{k}") for k in range(5)]).alias("hits"))).collect()
     trusted = plain_bootstrap([t for _, t in rows], [(r.kind, r.value, r.left, r.right, r.base) for r in every])
     want = Counter(r.row for r in every if not r.base and (r.kind, r.value.lower()) in trusted)
-    assert {i: r.n_found for i, r in got.items()} == {i: want[i] for i, _ in rows} and sum(want.values()) > 5
+    assert {i: r.n_found for i, r in got.items() if r.n_found} == dict(want) and len(want) > 1
 
 
 def test_many_matches_in_one_text(spark):
@@ -455,3 +455,53 @@ def test_many_matches_in_one_text(spark):
     got = {r.doc_id: r for r in pii.scan(table(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])).collect()}
     assert [got[i].n_email for i in range(4)] == [0, 40_000, 0, 0]
     assert got[1].spans.split(",")[-1] == f"email:{9 * 39_999}:{9 * 39_999 + 7}"
+
+
+# 6
+
+
+def plain_log(word, table, begin):
+    logs, after, ends = table
+    state, total = begin, 0.0
+    for c in secrets.classes(word):
+        c = secrets.ALPHABET.index(c)
+        total, state = total + logs[state, c], after[state, c]
+    return total + ends[state]
+
+
+def test_tokens_score_as_one_by_one():
+    rng = random.Random(61)
+    words = ["".join(rng.choice("09afgzAZ+/_.=-") for _ in range(rng.randrange(1, 30))) for _ in range(300)] + ["a" * 5000]
+    automaton = secrets.Automaton(Counter(secrets.classes(w) for w in words[:200])).table()
+    codes, starts = secrets.T.code_points(words)
+    counts = secrets.counted(secrets.class_numbers(codes), starts, np.array([len(w) for w in words]))
+    seen = Counter()
+    for w in words:
+        steps = ["^", "^", *secrets.classes(w), "$"]
+        seen.update(zip(steps, steps[1:], steps[2:]))
+    place = {c: i for i, c in enumerate(secrets.ALPHABET)} | {"^": 10, "$": 10}
+    assert {k: n for k, n in enumerate(counts.tolist()) if n} == {(place[a] * 11 + place[b]) * 11 + place[c]: n for (a, b, c), n in seen.items()}
+    for table, begin in ((automaton, 0), (secrets.ordinary(counts.reshape(121, 11).astype(float)), 10 * 11 + 10)):
+        assert np.allclose(table[0].min(), table[0].min()) and np.isfinite(table[0]).all() and np.isfinite(table[2]).all()
+        assert np.allclose(secrets.scored(words, table, begin), [plain_log(w, table, begin) / (len(w) + 1) for w in words])
+
+
+@pytest.mark.parametrize("kind", ["short", "dotted"])
+def test_bare_credentials_of_any_shape(spark, kind):
+    rng = random.Random(62)
+    pick = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    code = {"short": lambda: f"{pick(upper, 4)}-{pick(digits, 6)}", "dotted": lambda: f"ey{pick(upper + digits, 9)}.{pick(digits + upper, 12)}.{pick(upper, 6)}"}[kind]
+    words = [pick("abcdefghijklmnopqrstuvwxyz", rng.randrange(2, 11)) for _ in range(3000)]
+    prose = lambda: " ".join(rng.choices(words, k=30)) + f" Version-{rng.randrange(9)}.{rng.randrange(90)} on 2024-01-{rng.randrange(10, 30)} at https://www.site.org/{rng.choice(words)}."
+    rows = [(i, f"token={code()} {prose()}", None, None, None) for i in range(300)] + [(i, prose(), None, None, None) for i in range(300, 900)]
+    rows += [(1000 + i, f"{prose()} {code()} {prose()}", None, None, None) for i in range(20)]
+    got = {r.doc_id: r for r in secrets.scan(table(spark, rows)).collect()}
+    assert [got[1000 + i].n_found for i in range(20)] == [1] * 20
+    assert sum(got[i].n_found for i in range(900)) == 0
+
+
+def test_very_long_tokens(spark):
+    rows = [(1, "A" * 300_000, None, None, None), (2, "a1b2_" * 60_000, None, None, None), (3, "x" * 300_000 + "é", None, None, None)]
+    got = {r.doc_id: (r.spans, r.n_found) for r in secrets.scan(table(spark, rows)).collect()}
+    assert got == {1: ("", 0), 2: ("", 0), 3: ("", 0)}
