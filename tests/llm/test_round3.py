@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from mysem.llm import bytepairs, decontaminate, dialogues, pii, runs, secrets
+from mysem.llm import bytepairs, decontaminate, dialogues, hashed, language, pii, runs, secrets, toxicity
 from mysem.llm import queries as _queries  # noqa: F401
 from mysem.llm.registry import QUERIES
 from test_llm import LONG, ODD, SF, table
@@ -505,3 +505,78 @@ def test_very_long_tokens(spark):
     rows = [(1, "A" * 300_000, None, None, None), (2, "a1b2_" * 60_000, None, None, None), (3, "x" * 300_000 + "é", None, None, None)]
     got = {r.doc_id: (r.spans, r.n_found) for r in secrets.scan(table(spark, rows)).collect()}
     assert got == {1: ("", 0), 2: ("", 0), 3: ("", 0)}
+
+
+# 1, 4 and 7 against plain loops
+
+
+def words_of(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+
+
+def test_languages_without_filters(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+
+    def grams(text):
+        plain = "".join(c if c.isalpha() else " " for c in f" {(text or '').lower()} ")
+        plain = re.sub(" +", " ", plain)
+        return [plain[i : i + 4] for i in range(len(plain) - 3)] or ([plain] if plain.strip() else [])
+
+    seen = {}
+    for r in docs:
+        if not held(r.doc_id) and r.lang is not None and r.text is not None:
+            seen.setdefault(r.lang, Counter()).update(grams(r.text))
+    members = {k: {g for g, n in c.items() if n >= sum(c.values()) * language.MIN_SHARE} for k, c in seen.items()}
+    got = {r.doc_id: r for r in language.identify(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
+    for r in docs:
+        found = grams(r.text)
+        shares = {k: sum(g in m for g in found) / max(1, len(found)) for k, m in members.items()}
+        best = max(shares.values())
+        if not any(c.isalpha() for c in r.text or ""):
+            assert got[r.doc_id].lang_pred == "und"
+        elif len(found) > 60:
+            # Chance hits are taken off on average, so scores differ a little.
+            assert shares[got[r.doc_id].lang_pred] > best - 0.02 and abs(got[r.doc_id].score - best) < 0.05
+
+
+def test_noisy_or_over_sentences(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(80)
+    rng = np.random.default_rng(4)
+    weights = (rng.normal(size=hashed.SIZE) * 0.7).astype(np.float32)
+    weights[-1] = -4.0
+    got = {r.doc_id: (r.score, r.n_sentences) for r in toxicity.score(docs, weights).collect()}
+
+    def places(words, salt=np.uint64(0)):
+        codes, starts = hashed.T.code_points(words)
+        return hashed.places(hashed.T.words(codes, hashed.T.word_mask(codes), 99)[2] ^ salt)
+
+    def heads(words):
+        codes, starts = hashed.T.code_points(words)
+        return hashed.places(hashed.T.words(codes, hashed.T.word_mask(codes), toxicity.PREFIX)[3] ^ toxicity._PREFIX_SALT)
+
+    for r in docs.collect():
+        clean, n = 1.0, 0
+        for sentence in re.split(r"[.!?\n]", r.text.lower() if len(r.text.lower()) == len(r.text) else r.text):
+            words = words_of(sentence)
+            if words:
+                total = weights[-1] + sum(weights[places(words)].astype(float)) + sum(weights[heads(words)].astype(float))
+                clean, n = clean * (1 - 1 / (1 + np.exp(-total))), n + 1
+        assert got[r.doc_id][1] == n and abs(got[r.doc_id][0] - (1 - clean)) < 1e-3
+
+
+def test_shards_by_plain_ranks(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = docs.select("doc_id", "source", "text", F.xxhash64(F.lit(17), F.col("doc_id").cast("long")).alias("lot")).collect()
+    place = lambda s: (s is not None, s or "")
+    ranked = []
+    for source in {r.source for r in rows}:
+        mine = sorted((r for r in rows if r.source == source), key=lambda r: r.lot)
+        ranked += [((i + 0.5) / len(mine), place(source), r.lot, r) for i, r in enumerate(mine)]
+    want = {}
+    for at, (_, _, _, r) in enumerate(sorted(ranked, key=lambda x: x[:3])):
+        shard = at * 24 // len(rows)
+        data = (r.text or "").encode()
+        want[r.doc_id] = (len(data) + 8, zlib.crc32(data), "rows", shard, at - -(-shard * len(rows) // 24), None)
+    fn, _ = QUERIES["op7_sharding"]
+    assert {r.doc_id: tuple(r)[1:] for r in fn(spark, SF).collect()} == want
