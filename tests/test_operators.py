@@ -177,10 +177,10 @@ def test_insert_ignore_several_keys(spark, seed):
 @pytest.mark.parametrize("settled", [200_000, 3])
 def test_insert_ignore_chains(spark, monkeypatch, settled):
     # a1 and b1 share one key, b1 and a2 the other, and so on; and short chains, single rows and rows without a key.
-    n = 3000 if settled > 3 else 40
+    n = 800 if settled > 3 else 24
     new = [((i + 1) // 2, i // 2, i) for i in range(n)]
     rng = random.Random(7)
-    new += [(rng.choice([None, *range(10_000, 10_300)]), rng.choice([None, *range(20_000, 20_300)]), n + i) for i in range(500)]
+    new += [(rng.choice([None, *range(10_000, 10_300)]), rng.choice([None, *range(20_000, 20_300)]), n + i) for i in range(200)]
     want = _insert_ignore_one_by_one([], new, [(0,), (1,)])
     monkeypatch.setattr(mutate, "SETTLED", settled)
     tables, write = [], mutate.written
@@ -189,7 +189,7 @@ def test_insert_ignore_chains(spark, monkeypatch, settled):
     got = mutate.insert_ignore(source.limit(0), source.repartition(4), [["a"], ["b"]], order="q")
     assert rows(got) == sorted(want, key=str)
     if settled > 3:
-        # One row a round would take 1,500 rounds.
+        # One row a round would take 400 rounds.
         assert len(tables) < 12
 
 
