@@ -145,7 +145,7 @@ def _(t):
 
 @query(
     "rollup_levels",
-    """select l_returnflag, l_linestatus, l_linenumber, count(*) as n, count(nullif(l_linenumber, 3)) as n_other, sum(l_suppkey) as suppliers,
+    """select l_returnflag, l_linestatus, l_linenumber, count(*) as n, count(nullif(l_linenumber, 3)) as n_other, cast(sum(l_suppkey) as bigint) as suppliers,
       min(l_shipdate) as first_day, max(l_shipdate) as last_day, round(avg(l_quantity), 6) as mean_quantity
     from lineitem group by rollup (l_returnflag, l_linestatus, l_linenumber)""",
 )
