@@ -7,6 +7,9 @@ alike; then members are compared exactly, in blocks if there are many. Runs repe
 the least similarity have met with the target recall. A pair counts in the first run in which it meets, so
 links are summed without listing pairs: a block returns, per member, its number of links and one member it
 is connected with.
+
+Classes alone take less: members of a large bucket are compared with a few representatives, and then only those outside
+the bucket's main class with others, so a large group of alike texts costs as much as its texts.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mysem.llm import texts as T
@@ -33,6 +36,9 @@ ALIKE = 0.5
 # Members compared at a time: at most twice a block.
 BLOCK = 256
 BLOCK_BYTES = 32 << 20
+# Members of a large bucket with which all others are compared in one round, and rounds before what is left is compared in blocks.
+REPRESENTATIVES = 4
+ROUNDS = 4
 
 
 def runs_needed(similarity: float, recall: float, levels: int) -> int:
@@ -97,7 +103,7 @@ def _sketch(batch: pa.RecordBatch, size: int, steps: int) -> pa.RecordBatch:
 
 
 def _buckets(sets: DataFrame, runs: int, levels: int) -> DataFrame:
-    """``rep, text_key, copies, run, node, members, bytes`` for every set and run in which its bucket has another member."""
+    """``rep, text_key, copies, n_bytes, run, node, members, bytes`` for every set and run in which its bucket has another member."""
     steps = []
     for run in range(runs):
         path, nodes = F.lit(run), []
@@ -120,7 +126,7 @@ def _buckets(sets: DataFrame, runs: int, levels: int) -> DataFrame:
         else:
             sizes = sizes.withColumn("split", F.lit(None).cast("boolean"))
         sized = written(open_paths.join(written(sizes, "bucket-sizes"), node), "sized-paths")
-        closed.append(sized.where("split IS NULL").select("rep", "text_key", "copies", "run", F.col(node).alias("node"), "members", "bytes"))
+        closed.append(sized.where("split IS NULL").select("rep", "text_key", "copies", "n_bytes", "run", F.col(node).alias("node"), "members", "bytes"))
         if level + 1 < levels:
             open_paths = sized.where("split").drop("split", "members", "bytes")
     out = closed[0]
@@ -224,6 +230,48 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
+def _sets(rows: DataFrame, size: int, steps: int) -> tuple[DataFrame, DataFrame]:
+    """Sketches of all rows, and their different sets of shingles, each with the least of its rows and their number."""
+    kinds = "doc_id bigint, text_key bigint, high bigint, low bigint, n_shingles bigint, n_bytes bigint, least array<bigint>"
+    sketches = written(T.map_runs(rows, kinds, lambda batch: _sketch(batch, size, steps)), "sketches")
+    merged = sketches.where(_usable()).groupBy("high", "low").agg(
+        F.min(F.struct("doc_id", "text_key", "n_bytes")).alias("r"), F.count("*").alias("copies"), F.first("least").alias("least")
+    )
+    sets = merged.select("high", "low", F.col("r.doc_id").alias("rep"), F.col("r.text_key").alias("text_key"), F.col("r.n_bytes").alias("n_bytes"), "copies", "least")
+    return sketches, written(sets, "sets")
+
+
+def _usable() -> Column:
+    return (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+
+
+def _blocks(members: str, size: str) -> Column:
+    return F.greatest(F.ceil(F.col(members) / BLOCK), F.ceil(F.col(size) / BLOCK_BYTES)).cast("int")
+
+
+def _found(placed: DataFrame, size: int, similarity: tuple[int, int]) -> DataFrame:
+    """``rep, links, root`` of the rows that have links among those of the same ``key``."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            keys = batch.column("key").to_numpy()
+            changes = np.flatnonzero(keys[1:] != keys[:-1])
+            if held and len(keys) and held[-1].column("key")[-1].as_py() != keys[0]:
+                yield _compare(pa.Table.from_batches(held), size, similarity)
+                held = []
+            if len(changes):
+                cut = int(changes[-1]) + 1
+                yield _compare(pa.Table.from_batches([*held, batch.slice(0, cut)]), size, similarity)
+                held = [batch.slice(cut)]
+            elif len(keys):
+                held.append(batch)
+        if held:
+            yield _compare(pa.Table.from_batches(held), size, similarity)
+
+    return written(placed.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "rep bigint, links bigint, root bigint"), "links")
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: tuple[int, int] = SIMILARITY, size: int = SHINGLE, recall: float = RECALL, levels: int = LEVELS
 ) -> DataFrame:
@@ -236,19 +284,12 @@ def near_duplicates(
     """
     rows = T.inputs(df, id_col, text_col).withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     runs = runs_needed(similarity[0] / similarity[1], recall, levels)
-    kinds = "doc_id bigint, text_key bigint, high bigint, low bigint, n_shingles bigint, n_bytes bigint, least array<bigint>"
-    sketches = written(T.map_runs(rows, kinds, lambda batch: _sketch(batch, size, runs * levels)), "sketches")
-    usable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    merged = sketches.where(usable).groupBy("high", "low").agg(
-        F.min(F.struct("doc_id", "text_key", "n_bytes")).alias("r"), F.count("*").alias("copies"), F.first("least").alias("least")
-    )
-    sets = written(merged.select("high", "low", F.col("r.doc_id").alias("rep"), F.col("r.text_key").alias("text_key"), F.col("r.n_bytes").alias("n_bytes"), "copies", "least"), "sets")
-
+    sketches, sets = _sets(rows, size, runs * levels)
     members = written(_buckets(sets, runs, levels), "members")
     everywhere = members.groupBy("rep", "text_key").agg(
         F.first("copies").alias("copies"),
         F.array(*[F.coalesce(F.max(F.when(F.col("run") == r, F.col("node"))), F.lit(0)) for r in range(runs)]).alias("nodes"),
-        F.collect_list(F.struct("run", "node", F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))).alias("in"),
+        F.collect_list(F.struct("run", "node", _blocks("members", "bytes").alias("blocks"))).alias("in"),
     )
     # Each text of a bucket moves once to its id, then once to each bucket and block.
     placed = rows.where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "rep").join(everywhere, ["rep", "text_key"]).dropDuplicates(["rep", "text_key"])
@@ -264,25 +305,7 @@ def near_duplicates(
         "nodes",
         "text",
     )
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            keys = batch.column("key").to_numpy()
-            changes = np.flatnonzero(keys[1:] != keys[:-1])
-            if held and len(keys) and held[-1].column("key")[-1].as_py() != keys[0]:
-                yield _compare(pa.Table.from_batches(held), size, similarity)
-                held = []
-            if len(changes):
-                cut = int(changes[-1]) + 1
-                yield _compare(pa.Table.from_batches([*held, batch.slice(0, cut)]), size, similarity)
-                held = [batch.slice(cut)]
-            elif len(keys):
-                held.append(batch)
-        if held:
-            yield _compare(pa.Table.from_batches(held), size, similarity)
-
-    found = written(placed.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "rep bigint, links bigint, root bigint"), "links")
+    found = _found(placed, size, similarity)
     links = written(found.groupBy("rep").agg(F.sum("links").alias("links")), "link-sums")
     labels = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     classes = written(
@@ -292,5 +315,95 @@ def near_duplicates(
         .select("high", "low", F.coalesce("label", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")),
         "classes",
     )
-    known = sketches.select("doc_id", F.when(usable, F.col("high")).alias("high"), F.when(usable, F.col("low")).alias("low"))
+    known = sketches.select("doc_id", F.when(_usable(), F.col("high")).alias("high"), F.when(_usable(), F.col("low")).alias("low"))
     return known.join(classes, ["high", "low"], "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def _together(rows: DataFrame, meetings: DataFrame, runs: int) -> DataFrame:
+    """The texts of ``meetings`` (``rep, text_key, run, node, side, own, lefts, rights``), at every key at which they are compared.
+
+    Of a bucket, block ``own`` of ``lefts`` of side 0 meets each of the ``rights`` blocks of side 1; those of side -1 meet one another.
+    Pairs of side -1 that met on that side in an earlier run are left out.
+    """
+    everywhere = meetings.groupBy("rep", "text_key").agg(
+        F.array(*[F.coalesce(F.max(F.when((F.col("run") == r) & (F.col("side") == -1), F.col("node"))), F.lit(0)) for r in range(runs)]).alias("nodes"),
+        F.collect_list(F.struct("run", "node", "side", "own", "lefts", "rights")).alias("in"),
+    )
+    placed = rows.where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "rep").join(everywhere, ["rep", "text_key"]).dropDuplicates(["rep", "text_key"])
+    placed = placed.select("rep", "nodes", "text", F.explode("in").alias("i")).select("rep", "nodes", "text", "i.*")
+    right = F.col("side") == 1
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(right, F.col("lefts")).otherwise(F.col("rights")) - 1)))
+    return placed.select(
+        F.xxhash64("run", "node", F.when(right, F.col("other")).otherwise(F.col("own")), F.when(right, F.col("own")).otherwise(F.col("other"))).alias("key"),
+        F.when(F.col("side") == -1, F.col("run")).otherwise(0).alias("run"),
+        "side",
+        "rep",
+        F.lit(1).cast("long").alias("copies"),
+        "nodes",
+        "text",
+    )
+
+
+def _meeting(members: DataFrame, side: int, lefts: Column, rights: Column) -> DataFrame:
+    own = F.pmod(F.xxhash64("rep", "text_key", F.lit("block")), rights if side == 1 else lefts).cast("int")
+    return members.select("rep", "text_key", "run", "node", F.lit(side).alias("side"), own.alias("own"), lefts.alias("lefts"), rights.alias("rights"))
+
+
+def _representatives(members: DataFrame) -> DataFrame:
+    """Up to ``REPRESENTATIVES`` members of each bucket, by hash."""
+    least = [F.min(F.struct(F.xxhash64("rep", "text_key", F.lit(i)).alias("h"), "rep", "text_key")) for i in range(REPRESENTATIVES)]
+    picked = members.groupBy("run", "node", "blocks").agg(F.array(*least).alias("some"))
+    chosen = F.array_distinct(F.transform("some", lambda s: F.struct(s["rep"].alias("rep"), s["text_key"].alias("text_key"))))
+    return picked.select("run", "node", "blocks", F.explode(chosen).alias("s")).select("run", "node", "blocks", "s.*")
+
+
+def near_duplicate_classes(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: tuple[int, int] = SIMILARITY, size: int = SHINGLE, recall: float = RECALL, levels: int = LEVELS
+) -> DataFrame:
+    """One row per row of ``df``: ``doc_id, class_id, class_size``; the classes of ``near_duplicates`` and their rows, without links.
+
+    Small buckets are compared whole. All members of a large one are compared with a few representatives; then, as long as many members
+    are outside its largest class so far, with representatives of those; what few are left in the end, or after ``ROUNDS`` rounds, are
+    compared with all members in blocks. Two members that are not compared are thus in one class already, so the classes are whole.
+
+    Texts without words, null or not, and rows without an id are classes of their own, of one row. Rows that repeat an id with another
+    text are in the class of both texts. Empty tables give no rows.
+    """
+    rows = T.inputs(df, id_col, text_col).withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    runs = runs_needed(similarity[0] / similarity[1], recall, levels)
+    sketches, sets = _sets(rows, size, runs * levels)
+    members = written(_buckets(sets, runs, levels).drop("copies").withColumn("blocks", _blocks("members", "bytes")), "members")
+    one = F.lit(1)
+    large = members.where("blocks > 1")
+    meetings = _meeting(members.where("blocks = 1"), -1, one, one)
+    meetings = meetings.unionByName(_meeting(large, 0, F.col("blocks"), one)).unionByName(_meeting(_representatives(large), 1, F.col("blocks"), one))
+    edges, last = None, large.isEmpty()
+    for step in range(ROUNDS + 1):
+        found = _found(_together(rows, meetings, runs if step == 0 else 1), size, similarity).select(F.col("rep").alias("a"), F.col("root").alias("b"))
+        labels = components(found if edges is None else edges.unionByName(found))
+        if last:
+            break
+        edges = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        marked = large.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        sizes = marked.groupBy("run", "node", "label").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("bytes"))
+        sizes = sizes.groupBy("run", "node").agg(
+            F.max(F.struct("n", "label", "bytes")).alias("main"), (F.sum("n") - F.max(F.struct("n", "label", "bytes"))["n"]).alias("others"), F.sum("bytes").alias("bytes")
+        )
+        unsettled = sizes.where("others > 0").select("run", "node", F.col("main.label").alias("main"), "others", (F.col("bytes") - F.col("main.bytes")).alias("other_bytes"))
+        unsettled = written(unsettled.withColumn("rights", _blocks("others", "other_bytes")), "unsettled-buckets")
+        most = unsettled.agg(F.max("rights")).first()[0]
+        if most is None:
+            break
+        whole = large.join(unsettled, ["run", "node"])
+        rest = marked.join(unsettled, ["run", "node"]).where("label <> main")
+        last = most == 1 or step + 1 == ROUNDS
+        if last:
+            meetings = _meeting(whole, 0, F.col("blocks"), F.col("rights")).unionByName(_meeting(rest, 1, F.col("blocks"), F.col("rights")))
+        else:
+            meetings = _meeting(whole, 0, F.col("blocks"), one).unionByName(_meeting(_representatives(rest), 1, F.col("blocks"), one))
+    named = sets.select("high", "low", "rep", "copies").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    named = written(named.select("high", "low", "copies", F.coalesce("label", "rep").alias("class_id")), "classes")
+    totals = named.groupBy("class_id").agg(F.sum("copies").alias("class_size"))
+    known = sketches.select("doc_id", F.when(_usable(), F.col("high")).alias("high"), F.when(_usable(), F.col("low")).alias("low"))
+    known = known.join(named.join(totals, "class_id").drop("copies"), ["high", "low"], "left")
+    return known.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"))

@@ -13,10 +13,10 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from mysem.llm import bytepairs, decontaminate, dialogues, hashed, language, pii, runs, secrets, toxicity
+from mysem.llm import bytepairs, decontaminate, dialogues, hashed, language, neardup, pii, runs, secrets, toxicity
 from mysem.llm import queries as _queries  # noqa: F401
 from mysem.llm.registry import QUERIES
-from test_llm import LONG, ODD, SF, table
+from test_llm import LONG, ODD, SF, brute_links, table
 
 sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
 
@@ -580,3 +580,73 @@ def test_shards_by_plain_ranks(spark):
         want[r.doc_id] = (len(data) + 8, zlib.crc32(data), "rows", shard, at - -(-shard * len(rows) // 24), None)
     fn, _ = QUERIES["op7_sharding"]
     assert {r.doc_id: tuple(r)[1:] for r in fn(spark, SF).collect()} == want
+
+
+# 3, classes alone
+
+
+def alike_texts(rng, n, words, edits, first):
+    """``n`` texts that each differ from one text in some words."""
+    base = rng.choices([f"w{first}x{i}" for i in range(500)], k=words)
+    out = []
+    for i in range(n):
+        own = list(base)
+        for at in rng.sample(range(words), edits):
+            own[at] = f"v{first}x{i}x{at}"
+        out.append(" ".join(own))
+    return out
+
+
+def class_rows(rng):
+    """Two large groups of alike texts, one so loose that many pairs are linked through others only, chains, texts with a passage in common, and copies."""
+    texts = alike_texts(rng, 120, 150, 1, 0) + alike_texts(rng, 90, 200, 3, 1)
+    passage = " ".join(rng.choices([f"p{i}" for i in range(99)], k=14))
+    texts += [passage + " " + " ".join(rng.choices([f"q{i}" for i in range(400)], k=90)) for _ in range(60)]
+    chain = rng.choices([f"c{i}" for i in range(500)], k=160)
+    for i in range(60):
+        chain[2 * i] = f"d{i}"
+        texts.append(" ".join(chain))
+    texts += texts[::25]
+    rng.shuffle(texts)
+    return dict(enumerate(texts))
+
+
+@pytest.mark.parametrize("rounds", [1, 4])
+def test_classes_without_links(spark, monkeypatch, rounds):
+    rows = class_rows(random.Random(11))
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(neardup, "SMALL", 4)
+    monkeypatch.setattr(neardup, "ROUNDS", rounds)
+    got = {r.doc_id: (r.class_id, r.class_size) for r in neardup.near_duplicate_classes(table(spark, [(i, t, None, None, None) for i, t in rows.items()])).collect()}
+    classes = {i: c for i, (c, _) in brute_links(rows).items()}
+    sizes = Counter(classes.values())
+    assert got == {i: (c, sizes[c]) for i, c in classes.items()}
+
+
+def test_classes_move_texts_in_proportion(spark, monkeypatch):
+    """Texts that are all alike go once to their bucket in each run, the representatives to each block."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    together, moved = neardup._together, []
+
+    def counting(*args):
+        out = together(*args)
+        moved.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "_together", counting)
+    shares = []
+    for n in (500, 2000):
+        moved.clear()
+        rows = dict(enumerate(alike_texts(random.Random(5), n, 150, 1, 2)))
+        got = neardup.near_duplicate_classes(table(spark, [(i, t, None, None, None) for i, t in rows.items()])).collect()
+        assert {(r.class_id, r.class_size) for r in got} == {(0, n)}
+        shares.append(sum(moved) / n)
+    runs_made = neardup.runs_needed(0.8, neardup.RECALL, neardup.LEVELS)
+    assert max(shares) <= 1.05 * runs_made * (1 + neardup.REPRESENTATIVES / neardup.BLOCK)
+
+
+def test_classes_of_odd_rows(spark):
+    odd = table(spark, ODD)
+    got = Counter((r.doc_id, r.class_id, r.class_size) for r in neardup.near_duplicate_classes(odd).collect())
+    assert got[(3, 3, 3)] == 2 and got[(4, 3, 3)] == 1 and got[(1, 1, 1)] == 1 and got[(None, None, 1)] == 2 and sum(got.values()) == len(ODD)
+    assert neardup.near_duplicate_classes(table(spark, [])).count() == 0
