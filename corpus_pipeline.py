@@ -79,7 +79,7 @@ def one_of_each_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near-duplicates, keep one row, with the least id; without an id only if no other has one."""
     rows, key = _keyed(docs)
-    alike = written(neardup.near_duplicates(rows, key).where("n_links > 0"), "alike")
+    alike = written(neardup.near_duplicate_classes(rows, key).where("class_size > 1"), "alike")
     return _without(rows, key, _all_but_one(rows, key, alike, "class_id", F.struct(F.col("__id").isNull(), F.col("__id"))))
 
 
