@@ -9,11 +9,15 @@ together from their pieces, which alone are shuffled.
 
 from __future__ import annotations
 
+import re
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +30,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Where a stretch can begin: outside everything, in a quote of one of three kinds, in a comment.
 STATES = 5
 
+# About as many characters of records are walked as one text.
+CHARACTERS = 1 << 20
+
 
 def walker():
     """A function that walks a text: ``walk(text, state, delimiter) -> state, delimiter, cuts``.
@@ -57,6 +64,7 @@ def walker():
 
     def walk(text: str, state: int, delimiter: str | None) -> tuple[int, str | None, list[tuple[int, int, bool]]]:
         at, cuts, cutting = 0, [], delimiter is not None
+        skip = outside(delimiter).match
         while True:
             if state:
                 closed = closing[state].match(text, at)
@@ -67,10 +75,11 @@ def walker():
                 named = line.match(text, at)
                 if named:
                     delimiter = named[1]
+                    skip = outside(delimiter if cutting else None).match
                     cuts.append((at, named.end(), False))
                     at = named.end()
                     continue
-            at = outside(delimiter if cutting else None).match(text, at).end()
+            at = skip(text, at).end()
             if at == len(text):
                 return 0, delimiter, cuts
             if cutting and text.startswith(delimiter, at):
@@ -85,6 +94,26 @@ def walker():
     return walk
 
 
+def texts(batch: pa.RecordBatch, line_sep: str) -> Iterator[tuple[str, int, slice, np.ndarray, str]]:
+    """``file, block, rows, starts, text`` for neighbouring rows of one stretch: their records, each ended by ``line_sep``, as one text.
+
+    A call of a walk for each record costs more than the walk. Records begin lines, so if ``line_sep`` does not end one each is a text.
+    """
+    file, block, value = (batch.column(c) for c in ("file", "block", "value"))
+    if not len(value):
+        return
+    lengths = pc.utf8_length(value).to_numpy(zero_copy_only=False).astype(np.int64) + len(line_sep)
+    starts = np.cumsum(lengths) - lengths
+    new = np.diff(starts // CHARACTERS) > 0 if line_sep.endswith("\n") else np.ones(len(value) - 1, bool)
+    for column in (file, block):
+        new |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    bounds = [0, *(np.flatnonzero(new) + 1).tolist(), len(value)]
+    for first, end in zip(bounds, bounds[1:]):
+        records = pa.ListArray.from_arrays(pa.array([0, end - first], pa.int32()), value[first:end])
+        text = pc.binary_join(records, line_sep)[0].as_py() + line_sep
+        yield file[first].as_py(), block[first].as_py(), slice(first, end), starts[first:end] - starts[first], text
+
+
 def state_maps(records: DataFrame, line_sep: str) -> DataFrame:
     """Per stretch (``file, block``) the state and delimiter it ends in, from each state it can begin in; null: the delimiter in force before."""
     make, n_states = walker, STATES
@@ -98,7 +127,7 @@ def state_maps(records: DataFrame, line_sep: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([v], kind) for v, (_, kind) in zip(values, kinds)], names=[n for n, _ in kinds])
 
         for batch in batches:
-            for file, block, value in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "value"))):
+            for file, block, _, _, text in texts(batch, line_sep):
                 if (file, block) != here:
                     if here is not None:
                         yield row()
@@ -106,8 +135,8 @@ def state_maps(records: DataFrame, line_sep: str) -> DataFrame:
                 # States that have met are walked once.
                 after = {}
                 for state in {e[0] for e in ends}:
-                    end, _, cuts = walk(value + line_sep, state, None)
-                    after[state] = end, last_named(value + line_sep, cuts)
+                    end, _, cuts = walk(text, state, None)
+                    after[state] = end, last_named(text, cuts)
                 ends = [(after[s][0], after[s][1] or d) for s, d in ends]
         if here is not None:
             yield row()
@@ -135,59 +164,67 @@ def beginnings(maps: DataFrame) -> DataFrame:
 
 
 def cut(records: DataFrame, begun: DataFrame, line_sep: str) -> DataFrame:
-    """Pieces: ``file, block, seq, part, edge, text``.
+    """Pieces: ``stretch, seq, part, edge, text``; ``begun`` has the numbers of the stretches.
 
     ``edge`` is 0 for whole statements, 1 for what the first delimiter of a stretch ends, 2 for what its end leaves open.
     """
     make = walker
-    names = ["file", "block", "seq", "part", "edge", "text"]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string()]
+    names = ["stretch", "seq", "part", "edge", "text"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        walk, here, out = make(), None, []
-        state, delimiter, pieces, place, any_end, blank, n_started = 0, ";", [], (0, 0), False, True, {}
+        # A list for each column: rows as tuples would be walked by the garbage collector again and again.
+        walk, here, shown, out = make(), None, re.compile(r"\S").search, [[], [], [], [], []]
+        state, delimiter, pieces, place, any_end, last, seq = 0, ";", [], None, False, (None, 0), 0
 
-        def put(edge: int) -> None:
-            nonlocal blank
-            out.append((*here, *place, edge, "".join(pieces)))
+        def started(seq: int) -> tuple[int, int]:
+            nonlocal last
+            last = seq, last[1] + 1 if seq == last[0] else 0
+            return last
+
+        def put(edge: int, seq: int) -> None:
+            nonlocal place
+            row = (stretch, *(place or started(seq)), edge, pieces[0] if len(pieces) == 1 else "".join(pieces))
+            for column, value in zip(out, row):
+                column.append(value)
             pieces.clear()
-            blank = True
+            place = None
 
-        def started(seq: int) -> tuple[int, int]:
-            n = n_started.get(seq, 0)
-            n_started.clear()
-            n_started[seq] = n + 1
-            return seq, n
+        def batch_of() -> pa.RecordBatch:
+            done = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
+            for column in out:
+                column.clear()
+            return done
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("file", "block", "seq", "value", "state", "delimiter"))
-            for file, block, seq, value, begins, named in zip(*columns):
+            seqs = batch.column("seq").to_pylist()
+            for file, block, rows, starts, text in texts(batch, line_sep):
                 if (file, block) != here:
                     if here is not None:
-                        put(2)
-                    here, state, delimiter, any_end = (file, block), begins, named, False
-                text, at = value + line_sep, 0
-                if blank:
-                    place = started(seq)
+                        put(2, seq)
+                    here, any_end, last = (file, block), False, (None, 0)
+                    state, delimiter, stretch = (batch.column(c)[rows.start].as_py() for c in ("state", "delimiter", "stretch"))
+                starts, here_seqs, at = starts.tolist(), seqs[rows], 0
                 state, delimiter, cuts = walk(text, state, delimiter)
-                for end, start, ends in cuts:
+                for end, start, ends in [*cuts, (len(text), len(text), False)]:
                     pieces.append(text[at:end])
+                    # A statement's place is that of its first character that is not blank.
+                    if place is None and (first := shown(text, at, end)):
+                        place = started(here_seqs[bisect_right(starts, first.start()) - 1])
                     at = start
                     if ends:
-                        put(0 if any_end else 1)
-                        any_end, place = True, started(seq)
-                pieces.append(text[at:])
-                blank = blank and not pieces[-1].strip()
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
-                out.clear()
+                        put(0 if any_end else 1, here_seqs[bisect_right(starts, end) - 1])
+                        any_end = True
+                seq = here_seqs[-1]
+            if out[0]:
+                yield batch_of()
         if here is not None:
-            put(2)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+            put(2, seq)
+            yield batch_of()
 
     # A row for each stretch, some 100 bytes; the join must not move the records.
-    rows = records.join(F.broadcast(begun), ["file", "block"]).select("file", "block", "seq", "value", "state", "delimiter")
-    return rows.mapInArrow(run, "file string, block bigint, seq bigint, part int, edge int, text string")
+    rows = records.join(F.broadcast(begun), ["file", "block"]).select("file", "block", "seq", "value", "state", "delimiter", "stretch")
+    return rows.mapInArrow(run, "stretch bigint, seq bigint, part int, edge int, text string")
 
 
 def whole_statements(records: DataFrame, line_sep: str) -> DataFrame:
@@ -195,9 +232,10 @@ def whole_statements(records: DataFrame, line_sep: str) -> DataFrame:
 
     Delimiters that hold quotes, or read as a comment with what follows them, are not understood.
     """
-    begun = written(beginnings(state_maps(records, line_sep)), "dump-states")
+    begun = written(beginnings(state_maps(records, line_sep)).withColumn("stretch", F.monotonically_increasing_id()), "dump-states")
+    # The names of files, longer than many a statement, are written once a stretch.
     pieces = written(cut(records, begun, line_sep), "dump-pieces")
-    return joined(pieces).drop("parts")
+    return joined(pieces.join(F.broadcast(begun.select("stretch", "file", "block")), "stretch").drop("stretch")).drop("parts")
 
 
 def joined(pieces: DataFrame) -> DataFrame:

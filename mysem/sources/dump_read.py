@@ -30,14 +30,16 @@ _STRING = f"{_SINGLE}|{_DOUBLE}|{_TICKED}"
 _COMMENTS = rf"(?s)({_STRING})|/\*!\d*\s*((?:[^*]++|\*(?!/))*+)\*/|/\*(?:[^*]++|\*(?!/))*+\*/|--[^\n]*+\n?"
 # Neither a quoted text nor a comment is left open.
 _BALANCED = rf"(?s)^(?:[^'\"`/]++|/(?!\*)|{_STRING})*+$"
+# The same where comments are still there, none of them conditional.
+_CLOSED = rf"(?s)^(?:[^'\"`/\-]++|-(?!-)|--[^\n]*+|/(?!\*)|/\*(?:[^*]++|\*(?!/))*+\*/|{_STRING})*+\z"
 _PLAIN = r"^(?:[^'\"`]*+`[^'\"`]*+`)*+[^\"`\\]*+$"
 _STATEMENT = rf"(?s)((?:[^;'\"`]++|{_STRING})++)"
 _MARKER = r"(?i)(?:^|\n)DELIMITER[ \t]"
 # How a statement begins -> its category.
 CATEGORIES = (
+    ("data", ("INSERT", "REPLACE")),
     ("schema", ("CREATE TABLE", "CREATE INDEX", "CREATE UNIQUE INDEX", "CREATE TYPE", "ALTER TABLE", "DROP TABLE",
                 "DROP INDEX", "DROP TYPE", "CREATE VIEW", "DROP VIEW")),
-    ("data", ("INSERT", "REPLACE")),
     ("database", ("CREATE DATABASE", "USE ", "DROP DATABASE")),
     ("control", ("SET ", "LOCK ", "UNLOCK", "DELIMITER")),
     ("routine", ("CREATE FUNCTION", "CREATE PROCEDURE", "CREATE TRIGGER", "CREATE OR REPLACE FUNCTION")),
@@ -45,10 +47,10 @@ CATEGORIES = (
 
 _NAME = r"`?(?:[^`\s(;]+`?\.`?)?([^`\s(;.]+)`?"
 _TABLE = (
-    r"(?is)^(?:INSERT|REPLACE)\s+(?:(?:LOW_PRIORITY|DELAYED|HIGH_PRIORITY|IGNORE)\s+)*(?:INTO\s+)?" + _NAME,
-    r"(?is)^(?:CREATE|ALTER|DROP)\s+TABLE\s+(?:IF\s+(?:NOT\s+)?EXISTS\s+)?" + _NAME,
-    r"(?is)^LOCK\s+TABLES?\s+" + _NAME,
-    r"(?is)^CREATE\s+(?:UNIQUE\s+)?INDEX\s+\S+\s+ON\s+" + _NAME,
+    r"(?is)^(?:(?:INSERT|REPLACE)\s+(?:(?:LOW_PRIORITY|DELAYED|HIGH_PRIORITY|IGNORE)\s+)*(?:INTO\s+)?"
+    r"|(?:CREATE|ALTER|DROP)\s+TABLE\s+(?:IF\s+(?:NOT\s+)?EXISTS\s+)?"
+    r"|LOCK\s+TABLES?\s+"
+    r"|CREATE\s+(?:UNIQUE\s+)?INDEX\s+\S+\s+ON\s+)" + _NAME
 )
 
 _HEAD = r"(?is)^(?:INSERT|REPLACE)\s[^('\"]*?(?:\(([^()'\"]*+)\)\s*)?VALUES?\s*(?=\()"
@@ -57,6 +59,8 @@ _TUPLE = rf"(?s)\(((?:[^'\"()]++|{_SINGLE}|{_DOUBLE})*+)\)"
 # that closes its row.
 _VALUE = rf"(?s)[(,]\s*+((?:[^,'\"()\s]++(?=\s*+[,)])|(?:\w++\s*+)?+(?:{_SINGLE}|{_DOUBLE}))(?:\s*+\))?+)"
 _BLANKS = " \t\r\n"
+_NUMBER = r"^-?+[0-9]++(?:\.[0-9]++)?+\z"
+_EMPTY = r"^[ \t\r\n;]*+\z"
 
 PLACE = ["file", "block", "seq"]
 
@@ -67,21 +71,16 @@ def strip_comments(c: Column) -> Column:
 
 
 def category_of(body: Column) -> Column:
-    upper = F.upper(F.substring(body, 1, 40))
     out = None
     for name, starts in CATEGORIES:
-        hit = F.lit(False)
-        for s in starts:
-            hit = hit | upper.startswith(s)
+        hit = F.regexp_like(body, F.lit(f"(?iu)^(?:{'|'.join(starts)})"))
         out = F.when(hit, name) if out is None else out.when(hit, name)
     return out.otherwise("other")
 
 
 def table_of(body: Column) -> Column:
     """The table a data or schema statement is about, else NULL."""
-    head = F.substring(body, 1, 400)
-    found = [F.nullif(F.regexp_extract(head, p, 1), F.lit("")) for p in _TABLE]
-    return F.coalesce(*found)
+    return F.nullif(F.regexp_extract(F.substring(body, 1, 400), _TABLE, 1), F.lit(""))
 
 
 def _records(spark: SparkSession, path, line_sep: str, whole_files: bool) -> DataFrame:
@@ -142,9 +141,9 @@ def read_dump(
         body = F.trim(_checked(strip_comments(F.col("text"))), F.lit(_BLANKS))
         plain = plain.unionByName(lexed.select(*PLACE, "part", F.explode(F.array(body)).alias("body")))
     body = F.col("body")
-    return plain.where(F.trim(body, F.lit(_BLANKS + ";")) != "").select(
-        *PLACE, "part", category_of(body).alias("category"), table_of(body).alias("table"), "body"
-    )
+    about = F.struct(category_of(body).alias("category"), table_of(body).alias("table"), "body")
+    # Exploded, so that filters by category and table do not make them again.
+    return plain.where(~F.regexp_like(body, F.lit(_EMPTY))).select(*PLACE, "part", F.inline(F.array(about)))
 
 
 def _odd_files(records: DataFrame) -> DataFrame:
@@ -158,7 +157,9 @@ def _odd_files(records: DataFrame) -> DataFrame:
     # Most records are names in backquotes, then text with no other quote than an even number of single ones: that is quicker to see.
     plain = ~F.contains(value, F.lit("/*")) & ~F.contains(value, F.lit("--")) & F.regexp_like(value, F.lit(_PLAIN))
     even = (F.length(value) - F.length(F.replace(value, F.lit("'"), F.lit("")))) % 2 == 0
-    is_open = F.when(plain & even, False).otherwise(~F.regexp_like(strip_comments(value), F.lit(_BALANCED)))
+    # Without conditional comments nothing need be made to see it.
+    closed = F.when(F.contains(value, F.lit("/*!")), F.regexp_like(strip_comments(value), F.lit(_BALANCED))).otherwise(F.regexp_like(value, F.lit(_CLOSED)))
+    is_open = F.when(plain & even, False).otherwise(~closed)
     return records.where(named | in_comment | is_open).select("file").distinct()
 
 
@@ -200,7 +201,7 @@ def dump_rows(statements: DataFrame, table: str, columns: list[str]) -> DataFram
         {
             "flat": F.regexp_extract_all("rest", F.lit(_VALUE), F.lit(1)),
             "listed": listed,
-            "at": at,
+            "at": F.when(listed, at),
             "width": F.when(listed, F.size("names")).otherwise(F.lit(len(columns))),
         }
     )
@@ -242,6 +243,7 @@ def dump_rows(statements: DataFrame, table: str, columns: list[str]) -> DataFram
 def decode_literal(raw: Column, to: T.DataType, strict: bool = True) -> Column:
     """The value of an SQL literal, without blanks around it, as type ``to``."""
     # A character set introducer (_utf8mb4'...') says nothing about the value.
+    given = raw
     raw = F.when(raw.startswith("_"), F.regexp_replace(raw, r"^_\w+\s*", "")).otherwise(raw)
     single, double = raw.startswith("'"), raw.startswith('"')
     inner = F.substr(raw, F.lit(2), F.length(raw) - 2)
@@ -255,7 +257,11 @@ def decode_literal(raw: Column, to: T.DataType, strict: bool = True) -> Column:
         value = F.when(single, quoted(unescape_string(inner))).when(double, quoted(doubled)).otherwise(bare)
     else:
         value = F.when(single | double, typed(inner, to, strict)).otherwise(typed(raw, to, strict))
-    return F.when(~raw.isin("NULL", "null", "Null"), value)
+    value = F.when(~raw.isin("NULL", "null", "Null"), value)
+    if isinstance(to, (T.BooleanType, T.NumericType)):
+        # Most numbers stand bare: one look saves them the others.
+        return F.when(F.regexp_like(given, F.lit(_NUMBER)), given.cast(to) if strict else given.try_cast(to)).otherwise(value)
+    return value
 
 
 def load_dump(

@@ -4,12 +4,14 @@ import random
 import re
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mysem.functions import escape_string, unescape_string
 from mysem.plans import jobs
+from mysem.sources import dump_lex
 from mysem.sources import dump_read as R
 from mysem.sources import dump_write as W
 from mysem.sources import tables
@@ -481,3 +483,90 @@ def test_dump_and_migrate(spark, tmp_path):
     assert sorted(map(tuple, moved.collect())) == [(10, 1, None), (11, 3, dt.date(2024, 1, 1))]
     orphans = jobs.fk_orphans(moved, ["pid"], spark.read.parquet(str(tmp_path / "wh" / "parent")), ["id"])
     assert [tuple(r) for r in orphans.collect()] == [(3, 1)]
+
+
+# --- large dumps ---
+
+
+class _Here:
+    """Records whose batches are mapped in this process."""
+
+    def __init__(self, batches):
+        self.batches = batches
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        return [r for b in run(iter(self.batches)) for r in b.to_pylist()]
+
+
+def _batch(values, file="a", block=0):
+    n = len(values)
+    return pa.RecordBatch.from_pydict({"file": [file] * n, "block": pa.array([block] * n, pa.int64()), "value": pa.array(values, pa.string())})
+
+
+def test_records_are_walked_together(monkeypatch):
+    walks, make = [], dump_lex.walker
+
+    def counting():
+        walk = make()
+
+        def counted(text, state, delimiter):
+            walks.append(len(text))
+            return walk(text, state, delimiter)
+
+        return counted
+
+    monkeypatch.setattr(dump_lex, "walker", counting)
+    values = ["INSERT INTO t VALUES (1,'a", "\nb')", "-- it's", "\nINSERT INTO t VALUES (2, NULL)"] * 500
+    got = dump_lex.state_maps(_Here([_batch(values), _batch(["x", "'y"]), _batch(["z"], block=9)]), ";\n")
+    assert [(r["file"], r["block"]) for r in got] == [("a", 0), ("a", 9)] and got[0]["states"][0] == 1 and got[1]["states"] == [0, 1, 2, 3, 4]
+    # At most once for each state and batch, not for each record.
+    assert len(walks) <= 15
+
+
+@pytest.mark.parametrize("line_sep", [";\n", "\n", ";"])
+def test_texts_hold_every_record(monkeypatch, line_sep):
+    monkeypatch.setattr(dump_lex, "CHARACTERS", 20)
+    values = ["", "é", "abc\n", "x" * 50, "", "y"] * 3
+    batch = pa.Table.from_batches([_batch(values), _batch(values, block=7), _batch(values, "b", 7)]).combine_chunks().to_batches()[0]
+    got, every = list(dump_lex.texts(batch, line_sep)), values * 3
+    assert "".join(text for *_, text in got) == "".join(v + line_sep for v in every)
+    for file, block, rows, starts, text in got:
+        assert {(batch["file"][i].as_py(), batch["block"][i].as_py()) for i in range(rows.start, rows.stop)} == {(file, block)}
+        assert [text[at : at + len(every[i])] for at, i in zip(starts.tolist(), range(rows.start, rows.stop))] == every[rows]
+        assert line_sep.endswith("\n") or len(starts) == 1
+
+
+def test_small_texts_cut_alike(spark, tmp_path, monkeypatch):
+    rng = random.Random(9)
+    for i in range(6):
+        (tmp_path / f"{i}.sql").write_bytes(_random_dump(rng).encode())
+    read = lambda: sorted(tuple(r) for r in whole_statements(R._records(spark, str(tmp_path), ";\n", False), ";\n").collect())
+    whole = read()
+    monkeypatch.setattr(dump_lex, "CHARACTERS", 1)
+    assert read() == whole and len({r[:4] for r in whole}) == len(whole)
+
+
+def test_filters_find_the_table_once(spark, tmp_path):
+    (tmp_path / "d.sql").write_text("INSERT INTO t VALUES (1);\nINSERT INTO u VALUES (2);\n/* it's;\n */ INSERT INTO t VALUES (3);\n")
+    rows = R.load_dump(spark, str(tmp_path), "t", T._parse_datatype_string("a int"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    # Once for plain files, once for the others.
+    assert plan.count("LOW_PRIORITY") <= 2
+    assert sorted(r.a for r in rows.collect()) == [1, 3]
+
+
+def test_comments_left_open(spark):
+    texts = ["a -- it's\n", "/* it's */", "a/b", "a - b", "'--' x", "'/*'", "/* x", "-- a\n'", "'a", "a-", "a/", '"', "`", "//* x */*", "- -- \"\n'x'"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    old, new = F.regexp_like(R.strip_comments(F.col("t")), F.lit(R._BALANCED)), F.regexp_like("t", F.lit(R._CLOSED))
+    # A slash that a comment kept from a star is an error in either reading of a dump.
+    assert [r.t for r in df.where(old != new).collect()] == ["//* x */*"]
+
+
+def test_bare_numbers(spark):
+    df = spark.createDataFrame([(t,) for t in ["1", "-2", "3.50", "'4'", "0x1F", "NULL", "_utf8'5'", "b'1'"]], "t string")
+    got = df.select(*[R.decode_literal(F.col("t"), T._parse_datatype_string(k), strict=False).alias(k) for k in ("int", "double", "boolean")]).collect()
+    assert [r[0] for r in got] == [1, -2, None, 4, 31, None, 5, 1] and [r[1] for r in got][:4] == [1.0, -2.0, 3.5, 4.0] and got[0][2] is True
