@@ -130,24 +130,28 @@ def read_dump(
     no ``;`` + line feed inside quotes or comments; such a cut is an error then.
     """
     records = _records(spark, path, line_sep, whole_files)
-    # A file is some bytes here, however large it is.
-    odd = written(_odd_files(records), "odd-files") if delimiters else None
-    if odd is None or odd.isEmpty():
+    if not delimiters:
         plain = _explode_statements(records, "value", PLACE)
     else:
-        lexed = whole_statements(records.join(odd, "file", "left_semi"), line_sep)
-        plain = _explode_statements(records.join(odd, "file", "left_anti"), "value", PLACE)
-        # Exploded, so that what follows reads each body and does not make it again.
-        body = F.trim(_checked(strip_comments(F.col("text"))), F.lit(_BLANKS))
-        plain = plain.unionByName(lexed.select(*PLACE, "part", F.explode(F.array(body)).alias("body")))
+        # A file is some bytes here, however large it is. Text that no file of a kind needs is not read for that kind.
+        files = written(_kinds_of_files(records), "kinds-of-files")
+        odd = files.where("odd").select("file")
+        no_odd, all_odd = odd.isEmpty(), files.where("not odd").isEmpty()
+        plain = None if all_odd and not no_odd else _explode_statements(records if no_odd else records.join(odd, "file", "left_anti"), "value", PLACE)
+        if not no_odd:
+            lexed = whole_statements(records if all_odd else records.join(odd, "file", "left_semi"), line_sep)
+            # Exploded, so that what follows reads each body and does not make it again.
+            body = F.trim(_checked(strip_comments(F.col("text"))), F.lit(_BLANKS))
+            lexed = lexed.select(*PLACE, "part", F.explode(F.array(body)).alias("body"))
+            plain = lexed if plain is None else plain.unionByName(lexed)
     body = F.col("body")
     about = F.struct(category_of(body).alias("category"), table_of(body).alias("table"), "body")
     # Exploded, so that filters by category and table do not make them again.
     return plain.where(~F.regexp_like(body, F.lit(_EMPTY))).select(*PLACE, "part", F.inline(F.array(about)))
 
 
-def _odd_files(records: DataFrame) -> DataFrame:
-    """Files with a DELIMITER line, or with a record that ends inside quotes or a comment.
+def _kinds_of_files(records: DataFrame) -> DataFrame:
+    """``file, odd``: odd are files with a DELIMITER line, or with a record that ends inside quotes or a comment.
 
     In all other files each record begins, as the first does, outside of both.
     """
@@ -160,7 +164,7 @@ def _odd_files(records: DataFrame) -> DataFrame:
     # Without conditional comments nothing need be made to see it.
     closed = F.when(F.contains(value, F.lit("/*!")), F.regexp_like(strip_comments(value), F.lit(_BALANCED))).otherwise(F.regexp_like(value, F.lit(_CLOSED)))
     is_open = F.when(plain & even, False).otherwise(~closed)
-    return records.where(named | in_comment | is_open).select("file").distinct()
+    return records.select("file", (named | in_comment | is_open).alias("odd")).groupBy("file").agg(F.bool_or("odd").alias("odd"))
 
 
 def select_tables(
@@ -194,7 +198,9 @@ def dump_rows(statements: DataFrame, table: str, columns: list[str]) -> DataFram
     data = statements.where((F.col("category") == "data") & (F.col("table") == table))
     head = F.regexp_extract("body", f"({_HEAD})", 1)
     names = F.split(F.regexp_replace(F.regexp_extract("body", _HEAD, 1), r"[`\s\"]", ""), ",")
-    cut = data.withColumns({"names": names, "rest": F.substr("body", F.length(head) + 1)})
+    # A head without a parenthesis lists no names.
+    names = F.when(F.contains("head", F.lit("(")), names).otherwise(F.array(F.lit("")))
+    cut = data.withColumn("head", head).withColumns({"names": names, "rest": F.substr("body", F.length("head") + 1)})
     listed = F.element_at("names", 1) != ""
     at = F.transform(F.array(*[F.lit(c) for c in columns]), lambda c: F.array_position("names", c).cast("int") - 1)
     cut = cut.withColumns(
@@ -215,9 +221,7 @@ def dump_rows(statements: DataFrame, table: str, columns: list[str]) -> DataFram
     left = F.regexp_replace("rest", _TUPLE, "")
     literal = exact | (F.regexp_like("rest", F.lit(_TUPLE)) & F.regexp_like(left, F.lit(r"^[\s,]*$")))
     # A row ends where a parenthesis closes and nowhere else.
-    misplaced = F.exists(
-        F.transform("flat", lambda v, i: v.endswith(")") != ((i + 1) % F.col("width") == 0)), lambda wrong: wrong
-    )
+    misplaced = F.array_contains(F.transform("flat", lambda v, i: v.endswith(")") != ((i + 1) % F.col("width") == 0)), True)
     whole = (n > 0) & (n * F.col("width") == F.size("flat")) & ~misplaced
     bare = F.transform(
         "flat", lambda v: F.when(v.endswith(")"), F.rtrim(F.substr(v, F.lit(1), F.length(v) - 1))).otherwise(v)
